@@ -132,7 +132,7 @@ class WordTokens:
     Texts with white space other than the plain kinds, or with a special token's string, go to the tokenizer whole.
     """
 
-    WHOLE = re.compile("<\\||[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]")
+    WHOLE = re.compile(r"<\||[^\S \t\n\r]")
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
         from tokenizers import Tokenizer

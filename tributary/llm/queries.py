@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup, packing
+from . import decontamination, line_dedup, packing, simhash
 
 QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op8_packing": packing.op8_packing,
     "op10_decontamination": decontamination.op10_decontamination,
