@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup, packing, simhash
+from . import decontamination, language, line_dedup, packing, quality, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op5_quality": quality.op5_quality,
+    "op6_language": language.op6_language,
     "op8_packing": packing.op8_packing,
     "op10_decontamination": decontamination.op10_decontamination,
 }
