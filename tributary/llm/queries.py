@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, language, line_dedup, packing, quality, simhash
+from . import archives, decontamination, language, line_dedup, packing, quality, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op4_warc": archives.op4_warc,
     "op5_quality": quality.op5_quality,
     "op6_language": language.op6_language,
     "op8_packing": packing.op8_packing,
@@ -15,5 +16,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op3_line_dedup": line_dedup.SQL,
+    "op4_warc": archives.SQL,
     "op10_decontamination": decontamination.SQL,
 }
