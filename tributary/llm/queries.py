@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import archives, decontamination, language, line_dedup, packing, quality, simhash
+from . import archives, decontamination, imatch, language, line_dedup, packing, quality, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_imatch": imatch.op2_imatch,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_warc": archives.op4_warc,
     "op5_quality": quality.op5_quality,
