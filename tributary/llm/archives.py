@@ -6,7 +6,7 @@ into WARC 1.1 files, gzipped by record: it synthesises record identifiers, ISO t
 digests, and makes a revisit record of each payload that another record holds as well.
 
 Files are written by Spark's text sink, one blob of bytes a file with a NUL after it, which gzip takes for padding, and
-read by its binaryFile source, so any store that Spark reaches will do. A file ends after SEGMENT bytes of records, so
+read by its binaryFile source, so any store that Spark reaches will do. A file ends after SEGMENT compressed bytes, so
 no task holds more than that and one record. Payload digests are grouped without their payloads; a payload that a third
 of all records share is aggregated on the map side and its join is split by Spark.
 
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SEGMENT, LEVEL = 32 << 20, 3
+SEGMENT, LEVEL = 8 << 20, 3
 #: Output rows of a task go to Spark in batches of about this many bytes.
 _BATCH = 4 << 20
 
@@ -128,7 +128,7 @@ def _arc_batches(batches: Iterator[pa.RecordBatch], segment: int, level: int) ->
             place = quote(url, safe="%/:=&?~#+!$,;'@()*[]") if url else f"urn:page:{key}"
             record = arc_record(version, name, size, place, "192.0.2.1", _date(key or 0), "text/html", 200, content)
             parts.append(zipped(record, level))
-            size += len(record)
+            size += len(parts[-1])
             if size >= segment:
                 yield blob()
                 parts = []
@@ -200,19 +200,22 @@ def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["key", "digest", "size"])
 
 
-CONTENTS = "key bigint, digest string, url string, ip string, date string, mime string, truncated boolean, content binary"
+CONTENTS = "key bigint, digest string, url string, ip string, date string, mime string, truncated boolean, head binary, record binary"
 
 
-def _content_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _content_batches(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
+    """What a revisit record needs, and the finished record for those that are none."""
     names = [c.split()[0] for c in CONTENTS.split(", ")]
-    kinds = [pa.int64(), *[pa.string()] * 5, pa.bool_(), pa.binary()]
+    kinds = [pa.int64(), *[pa.string()] * 5, pa.bool_(), pa.binary(), pa.binary()]
     for batch in batches:
         for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
             rows, size = [], 0
             for r in parse_arc(data.as_py()):
                 head, payload, _ = split_http(r["content"])
-                rows.append((record_key(head, path, r["offset"]), base32_sha1(payload), r["URL"], r["IP-address"], r["Archive-date"], r["Content-type"], r["truncated"], r["content"]))
-                size += len(r["content"])
+                known = (record_key(head, path, r["offset"]), base32_sha1(payload), r["URL"], r["IP-address"], r["Archive-date"], r["Content-type"], r["truncated"])
+                record = zipped(to_warc(*known, r["content"], None), level)
+                rows.append((*known, head, record))
+                size += len(record)
                 if size > _BATCH:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
                     rows, size = [], 0
@@ -257,9 +260,9 @@ def _warc_batches(batches: Iterator[pa.RecordBatch], segment: int, level: int) -
                 named = uuid.uuid5(uuid.NAMESPACE_URL, f"warcinfo:{row[0]}:{row[1]}")
                 parts.append(zipped(warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{named}>"), ("WARC-Date", iso_date(row[4])), ("Content-Type", "application/warc-fields")], about), level))
                 size = 0
-            record = to_warc(*row)
-            parts.append(zipped(record, level))
-            size += len(record)
+            *known, head, record, first = row
+            parts.append(record if first is None else zipped(to_warc(*known, head, first), level))
+            size += len(parts[-1])
             if size >= segment:
                 yield blob()
                 parts = []
@@ -273,8 +276,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_payload: int
     held = arcs.mapInArrow(_digest_batches, "key bigint, digest string, size bigint").where(F.col("size") >= min_payload)
     first = held.groupBy("digest").agg(F.max("key").alias("first"), F.min("key").alias("least")).where("least < first").select("digest", "first")
     revisits = held.join(first, "digest").where("key < first").select("key", "digest", "first").distinct()
-    contents = arcs.mapInArrow(_content_batches, CONTENTS).join(revisits, ["key", "digest"], "left")
-    ordered = contents.select("key", "digest", "url", "ip", "date", "mime", "truncated", "content", "first")
+    contents = arcs.mapInArrow(lambda batches: _content_batches(batches, level), CONTENTS).join(revisits, ["key", "digest"], "left")
+    ordered = contents.select("key", "digest", "url", "ip", "date", "mime", "truncated", "head", "record", "first")
     _write(ordered.mapInArrow(lambda batches: _warc_batches(batches, segment, level), "blob binary"), warc_path)
 
 
