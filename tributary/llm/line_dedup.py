@@ -7,18 +7,19 @@ aggregated on the map side, so a line that a third of all documents share is one
 
 With min_docs above 2 distinct documents are counted. Keys shorter than min_chars code points stay. Null and empty texts
 are one empty line. Rows with the same doc_id count as one document, and each is cleaned. Rows with a null doc_id count as
-no document: their lines stay and make no other line go. Extra columns are ignored.
+no document: their lines stay and make no other line go. Extra columns stay; a column named kept_text, n_lines or
+n_dropped must be renamed first.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -58,13 +59,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return lines.join(held.select("hash", "first"), "hash").where("doc_id > first").select("doc_id", "hash")
 
 
-KEPT = "doc_id bigint, row bigint, kept_text string, n_lines bigint, n_dropped bigint"
-
-
-def _keep_batches(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
+def _keep_batches(batches: Iterator[pa.RecordBatch], names: list[str], min_chars: int) -> Iterator[pa.RecordBatch]:
+    """Rows of other columns, text and drops; the text becomes the kept text, the drops the two counts."""
     for batch in batches:
+        *others, texts, dropped = batch.columns
         kept, n_lines, n_dropped = [], [], []
-        for text, drops in zip(common.utf8(batch.column(2)), batch.column(3)):
+        for text, drops in zip(common.utf8(texts), dropped):
             lines = text.split(b"\n")
             stay = lines
             if drops.is_valid and len(drops):
@@ -73,20 +73,21 @@ def _keep_batches(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator
             kept.append(b"\n".join(stay))
             n_lines.append(len(lines))
             n_dropped.append(len(lines) - len(stay))
-        columns = [batch.column(0), batch.column(1), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "kept_text", "n_lines", "n_dropped"])
+        yield pa.RecordBatch.from_arrays([*others, pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, carry: str | None = None) -> DataFrame:
-    """Per row: doc_id, row (the bigint column `carry`, if named), kept_text, n_lines, n_dropped."""
-    drops = repeated_lines(docs, id_col, text_col, min_chars, min_docs).groupBy("doc_id").agg(F.collect_set("hash").alias("drops"))
-    frame = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), (F.col(carry) if carry else F.lit(None)).cast("bigint").alias("row"), F.col(text_col).cast("string").alias("text"))
-    joined = frame.join(drops, "doc_id", "left").select("doc_id", "row", "text", "drops")
-    return joined.mapInArrow(lambda batches: _keep_batches(batches, min_chars), KEPT)
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """The rows with all their columns but text_col, then kept_text, n_lines and n_dropped."""
+    drops = repeated_lines(docs, id_col, text_col, min_chars, min_docs).groupBy("doc_id").agg(F.collect_set("hash").alias("_drops")).withColumnRenamed("doc_id", "_doc")
+    others = [c for c in docs.columns if c != text_col]
+    joined = docs.join(drops, F.col(id_col).cast("bigint") == F.col("_doc"), "left").select(*others, F.col(text_col).cast("string").alias("_text"), "_drops")
+    out = T.StructType([*(docs.schema[c] for c in others), *(T.StructField(n, t) for n, t in (("kept_text", T.StringType()), ("n_lines", T.LongType()), ("n_dropped", T.LongType())))])
+    names = out.names
+    return joined.mapInArrow(lambda batches: _keep_batches(batches, names, min_chars), out)
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:
-    kept = dedup_lines(common.table(spark, sf_dir, "documents"))
+    kept = dedup_lines(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

@@ -21,9 +21,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -84,6 +86,10 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return docs.select(*columns).mapInArrow(_statistic_batches, "doc_id bigint, " + ", ".join(f"{s} double" for s in STATISTICS))
 
 
+def _statistic_frame(text: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([statistics(x or "") for x in text], columns=STATISTICS)
+
+
 def is_held_out(doc_id: Column) -> Column:
     """Rows whose crc32(doc_id as text) mod 4 is 2; a null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
@@ -101,10 +107,12 @@ class Rule:
             found &= (x[:, k] > cut) == above
         return found
 
-    def column(self, names: list[str]) -> Column:
+    def column(self, names: list[str], of: str | None = None) -> Column:
+        """The rule over columns, or over the fields of the struct `of`."""
         found = None
         for k, cut, above in self.parts:
-            test = F.col(names[k]) > F.lit(cut) if above else F.col(names[k]) <= F.lit(cut)
+            value = F.col(of)[names[k]] if of else F.col(names[k])
+            test = value > F.lit(cut) if above else value <= F.lit(cut)
             found = test if found is None else found & test
         return found
 
@@ -188,10 +196,10 @@ class RuleModel:
         kept = np.flatnonzero(weights)
         return cls(names, [rules[k] for k in kept], [float(weights[k]) for k in kept], intercept)
 
-    def score_column(self) -> Column:
+    def score_column(self, of: str | None = None) -> Column:
         margin = F.lit(self.intercept)
         for rule, weight in zip(self.rules, self.weights):
-            margin = margin + F.when(rule.column(self.names), F.lit(weight)).otherwise(F.lit(0.0))
+            margin = margin + F.when(rule.column(self.names, of), F.lit(weight)).otherwise(F.lit(0.0))
         return 1 / (1 + F.exp(-margin))
 
     def predict(self, x: np.ndarray) -> np.ndarray:
@@ -218,5 +226,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
+    """The rows, with their own columns, whose score reaches the threshold."""
+    model = fit_on(text_statistics(docs, id_col, text_col), labels, label_col, sample)
+    measure = F.pandas_udf(_statistic_frame, T.StructType([T.StructField(s, T.DoubleType()) for s in STATISTICS]))
+    found = docs.withColumn("_statistics", measure(F.col(text_col).cast("string")))
+    return found.where(model.score_column("_statistics") >= threshold).select(*docs.columns)
+
+
 def op5_quality(spark, sf_dir: str) -> DataFrame:
     return score_quality(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
