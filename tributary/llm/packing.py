@@ -12,8 +12,10 @@ and empty texts are examples of one token, the end token. Repeated rows are pack
 
 from __future__ import annotations
 
+import os
 import re
 import struct
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -125,23 +127,47 @@ def powers_of_two(sequence: list[tuple[int, int, int]], total: int) -> Iterator[
         yield part
 
 
+#: What a worker keeps from one task to the next, by tokenizer.
+_KEPT: dict[str, dict[str, bytes]] = {}
+
+
 class WordTokens:
     """Token ids of a text as little-endian 32-bit bytes, equal to the tokenizer's own.
 
     The tokenizer never joins what white space separates, so each white-space delimited word is tokenised once and kept.
-    Texts with white space other than the plain kinds, or with a special token's string, go to the tokenizer whole.
+    A word of letters with marks at its end is two pieces for the tokenizer's model; other words take the tokenizer's
+    whole way. Texts with white space other than the plain kinds, or with a special token's string, go to it whole.
     """
 
     WHOLE = re.compile(r"<\||[^\S \t\n\r]")
+    #: Marks that split off a word as one piece; an apostrophe may start a contraction.
+    MARKS = ".,;:!?|*#%&$\"()+-=/"
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kept, self.cache = Tokenizer.from_file(path), {}, cache
+        self.tokenizer, self.kept, self.cache = Tokenizer.from_file(path), _KEPT.setdefault(path, {}), cache
+        self.model = self.tokenizer.model
+        # The byte-level alphabet: printable bytes stand for themselves, the others follow from code point 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = iter(range(256, 512))
+        self.alphabet = [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _word(self, word: str) -> bytes:
+        core = word.rstrip(self.MARKS)
+        low = core.lower()
+        if not (core.isalpha() and low.isalpha() and "\u03a3" not in core and unicodedata.is_normalized("NFC", core)):
+            return self._encode([word])[0]
+        pieces = [low if low.isascii() else "".join([self.alphabet[b] for b in low.encode()])]
+        if len(core) < len(word):
+            pieces.append(word[len(core) :])
+        ids = [t.id for piece in pieces for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def __call__(self, text: str) -> bytes:
         if self.WHOLE.search(text):
             return self._encode([text])[0]
@@ -149,12 +175,11 @@ class WordTokens:
         try:
             return b"".join(map(kept.__getitem__, found))
         except KeyError:
-            new = list({w for w in found if w not in kept})
-            fresh = dict(zip(new, self._encode(new)))
-            if len(kept) + len(fresh) > self.cache:
+            if len(kept) > self.cache:
                 kept.clear()
-                return b"".join(fresh[w] if w in fresh else kept.setdefault(w, self._encode([w])[0]) for w in found)
-            kept.update(fresh)
+            for word in found:
+                if word not in kept:
+                    kept[word] = self._word(word)
             return b"".join(map(kept.__getitem__, found))
 
 
