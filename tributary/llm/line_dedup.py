@@ -56,7 +56,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         held = lines.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     else:
         held = lines.distinct().groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    return lines.join(held.select("hash", "first"), "hash").where("doc_id > first").select("doc_id", "hash")
+    # Stored, both sides of the join are dealt out for it alone, and Spark can split a hot line's share of the lines.
+    held = common.stored(held.select("hash", "first"), "repeated")
+    return lines.join(held, "hash").where("doc_id > first").select("doc_id", "hash")
 
 
 def _keep_batches(batches: Iterator[pa.RecordBatch], names: list[str], min_chars: int) -> Iterator[pa.RecordBatch]:
