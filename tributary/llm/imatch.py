@@ -5,10 +5,11 @@ the terms whose document frequency lies within a band of shares of all documents
 frequencies. Frequencies are counted over all documents in 2^SLOT_BITS slots by hash, so the lexicon is a bitmap of fixed
 size that reaches the executors as one value. Each of the randomised subsets of the lexicon takes a term by bits of its
 second hash; a fingerprint is, for each subset, a hash of the sorted distinct terms of the text that are in it, or 0 if
-there are none. Subsets are of several sizes, so that long texts and short ones both have subsets with few terms.
+there are none. Subsets are of several sizes, so that long texts and short ones both have subsets with few terms; the first
+part is that of the whole lexicon. A text without a term of the lexicon is known by all its terms.
 
-The likeness of two fingerprints is the share of equal parts among those that are not 0 in both; it is 1 if both have no
-term, as two equal texts then are, and so are two different texts without a term of the lexicon.
+The likeness of two fingerprints is the share of equal parts among those that are not 0 in both; it is 1 if neither text
+has a term.
 
 Null and empty texts have no terms. Equal texts have equal fingerprints. Rows with equal doc_id are ordered by text; a null
 doc_id comes last. An empty table gives an empty result. Extra columns are ignored.
@@ -60,8 +61,12 @@ def _member(number: int, bits: int):
     return lambda t: F.xxhash64(t, F.lit(number)).bitwiseAND(F.lit((1 << bits) - 1)) == 0
 
 
+def _hash(found: str) -> Column:
+    return F.when(F.size(found) > 0, F.xxhash64(found).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).otherwise(F.lit(0))
+
+
 def add_fingerprint(rows: DataFrame, text_col: str, words: DataFrame, name: str, slot_bits: int = SLOT_BITS, subsets: tuple[int, ...] = SUBSETS, series: int = SERIES) -> DataFrame:
-    """The rows with the column `name`: an int, or 0, for each subset. words is what lexicon() gives.
+    """The rows with the column `name`: an int, or 0, for the whole lexicon and each subset. words is what lexicon() gives.
 
     The subsets of a series are nested, each taken from the one before. They are columns of their own until they are
     hashed: as one expression, the shared parts would be evaluated once for each subset.
@@ -72,16 +77,18 @@ def add_fingerprint(rows: DataFrame, text_col: str, words: DataFrame, name: str,
         return F.getbit(F.get(F.col("_bitmap"), F.shiftright(slot, 6)), slot.bitwiseAND(F.lit(63))) == 1
 
     kept = rows.columns
-    rows = rows.withColumn("_bitmap", words.scalar()).withColumn("_terms", F.filter(terms(F.col(text_col)), known)).drop("_bitmap")
+    rows = rows.withColumn("_bitmap", words.scalar()).withColumn("_all", terms(F.col(text_col))).withColumn("_terms", F.filter("_all", known))
+    rows = rows.withColumn("_terms", F.when(F.size("_terms") > 0, F.col("_terms")).otherwise(F.col("_all"))).drop("_bitmap", "_all")
+    rows = rows.withColumn("_hash", _hash("_terms"))
     before = ["_terms"] * series
     for level, bits in enumerate(sorted(subsets)):
         now = [f"_subset_{level}_{number}" for number in range(series)]
         rows = rows.withColumns({n: F.filter(F.col(b), _member(number, bits)) for number, (n, b) in enumerate(zip(now, before))})
-        hashed = {f"_hash_{level}_{number}": F.when(F.size(n) > 0, F.xxhash64(n).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).otherwise(F.lit(0)) for number, n in enumerate(now)}
+        hashed = {f"_hash_{level}_{number}": _hash(n) for number, n in enumerate(now)}
         rows = rows.withColumns(hashed).drop(*set(before))
         before = now
     parts = [F.col(f"_hash_{level}_{number}") for level in range(len(subsets)) for number in range(series)]
-    return rows.select(*kept, F.array(*parts).alias(name))
+    return rows.select(*kept, F.array("_hash", *parts).alias(name))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -109,7 +116,7 @@ def with_next(docs: DataFrame, carried: list[str], id_col: str = "doc_id", text_
     width = F.array(*[F.lit(max(1, -(-(b - a) // fine))).cast("bigint") for a, b in zip(cuts, cuts[1:])] or [F.lit(1).cast("bigint")])
     coarse = F.greatest(F.size(F.filter(spans, lambda x: x <= F.col(id_col))) - 1, F.lit(0))
     within = F.least(F.floor((F.col(id_col) - F.get(spans, coarse)) / F.get(width, coarse)), F.lit(fine - 1)) if fine > 1 else F.lit(0)
-    bucket = F.coalesce(coarse * fine + within, F.lit(0)).cast("bigint")
+    bucket = F.when(F.col(id_col).isNull(), F.lit(0)).otherwise(coarse * fine + within).cast("bigint")
     heads = docs.where(F.col(id_col).isNotNull()).groupBy(bucket.alias("own")).agg(F.max(id_col).alias("head"))
     n_heads = len(cuts) * fine
     # One row a bucket.
