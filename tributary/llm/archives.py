@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SEGMENT, LEVEL = 8 << 20, 3
+SEGMENT, LEVEL = 8 << 20, 5
 #: Output rows of a task go to Spark in batches of about this many bytes.
 _BATCH = 4 << 20
 
@@ -200,21 +200,20 @@ def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["key", "digest", "size"])
 
 
-CONTENTS = "key bigint, digest string, url string, ip string, date string, mime string, truncated boolean, head binary, record binary"
+CONTENTS = "key bigint, digest string, record binary"
 
 
 def _content_batches(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
-    """What a revisit record needs, and the finished record for those that are none."""
-    names = [c.split()[0] for c in CONTENTS.split(", ")]
-    kinds = [pa.int64(), *[pa.string()] * 5, pa.bool_(), pa.binary(), pa.binary()]
+    """Finished records, as they are if they are no revisits."""
+    names, kinds = ["key", "digest", "record"], [pa.int64(), pa.string(), pa.binary()]
     for batch in batches:
         for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
             rows, size = [], 0
             for r in parse_arc(data.as_py()):
                 head, payload, _ = split_http(r["content"])
-                known = (record_key(head, path, r["offset"]), base32_sha1(payload), r["URL"], r["IP-address"], r["Archive-date"], r["Content-type"], r["truncated"])
-                record = zipped(to_warc(*known, r["content"], None), level)
-                rows.append((*known, head, record))
+                key, digest = record_key(head, path, r["offset"]), base32_sha1(payload)
+                record = zipped(to_warc(key, digest, r["URL"], r["IP-address"], r["Archive-date"], r["Content-type"], r["truncated"], r["content"]), level)
+                rows.append((key, digest, record))
                 size += len(record)
                 if size > _BATCH:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -233,17 +232,26 @@ def iso_date(date: str) -> str:
     return f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:]}Z"
 
 
-def to_warc(key: int, digest: str, url: str, ip: str, date: str, mime: str, truncated: bool, content: bytes, refers_to: int | None) -> bytes:
-    head, _, http = split_http(content)
-    kind = "revisit" if refers_to is not None else "response" if http else "resource"
-    block = head if kind == "revisit" else content
-    fields = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{record_id(key, digest)}>"), ("WARC-Date", iso_date(date)), ("WARC-Target-URI", url)]
+def to_warc(key: int, digest: str, url: str, ip: str, date: str, mime: str, truncated: bool, content: bytes) -> bytes:
+    """A response record of an HTTP message, or a resource record of anything else."""
+    http = split_http(content)[2]
+    fields = [("WARC-Type", "response" if http else "resource"), ("WARC-Record-ID", f"<urn:uuid:{record_id(key, digest)}>"), ("WARC-Date", iso_date(date)), ("WARC-Target-URI", url)]
     fields += [("WARC-IP-Address", ip)] if ip not in ("", "-", "0.0.0.0") else []
-    fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", f"<urn:uuid:{record_id(refers_to, digest)}>")] if kind == "revisit" else []
     fields += [("WARC-Truncated", "length")] if truncated else []
-    fields += [("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Block-Digest", f"sha1:{base32_sha1(block)}")]
+    fields += [("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Block-Digest", f"sha1:{base32_sha1(content)}")]
     fields += [("Content-Type", "application/http; msgtype=response" if http else mime)]
-    return warc_record(fields, block)
+    return warc_record(fields, content)
+
+
+def to_revisit(record: bytes, refers_to: int) -> bytes:
+    """The revisit record that stands for a record whose payload another one holds: its HTTP header without the payload."""
+    at = record.index(b"\r\n\r\n")
+    lines = [line.split(": ", 1) for line in record[:at].decode().split("\r\n")[1:]]
+    head, payload, _ = split_http(record[at + 4 : -4])
+    digest = next(v for k, v in lines if k == "WARC-Payload-Digest").removeprefix("sha1:")
+    changed = {"WARC-Type": "revisit", "WARC-Block-Digest": f"sha1:{base32_sha1(head)}"}
+    fields = [(k, changed.get(k, v)) for k, v in lines if k != "Content-Length"]
+    return warc_record([*fields, ("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", f"<urn:uuid:{record_id(refers_to, digest)}>"), ("X-Payload-Bytes", str(len(payload)))], head)
 
 
 def _warc_batches(batches: Iterator[pa.RecordBatch], segment: int, level: int) -> Iterator[pa.RecordBatch]:
@@ -254,14 +262,14 @@ def _warc_batches(batches: Iterator[pa.RecordBatch], segment: int, level: int) -
         return pa.RecordBatch.from_arrays([pa.array([b"".join(parts)], pa.binary())], ["blob"])
 
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
+        for key, record, first in zip(*(c.to_pylist() for c in batch.columns)):
             if not parts:
                 about = b"software: tributary\r\nformat: WARC File Format 1.1\r\n"
-                named = uuid.uuid5(uuid.NAMESPACE_URL, f"warcinfo:{row[0]}:{row[1]}")
-                parts.append(zipped(warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{named}>"), ("WARC-Date", iso_date(row[4])), ("Content-Type", "application/warc-fields")], about), level))
+                named = uuid.uuid5(uuid.NAMESPACE_URL, f"warcinfo:{key}:{hashlib.sha1(record).hexdigest()}")
+                date = next(parse_warc(record))[0]["warc-date"]
+                parts.append(zipped(warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{named}>"), ("WARC-Date", date), ("Content-Type", "application/warc-fields")], about), level))
                 size = 0
-            *known, head, record, first = row
-            parts.append(record if first is None else zipped(to_warc(*known, head, first), level))
+            parts.append(record if first is None else zipped(to_revisit(zlib.decompress(record, 31), first), level))
             size += len(parts[-1])
             if size >= segment:
                 yield blob()
@@ -277,8 +285,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_payload: int
     first = held.groupBy("digest").agg(F.max("key").alias("first"), F.min("key").alias("least")).where("least < first").select("digest", "first")
     revisits = held.join(first, "digest").where("key < first").select("key", "digest", "first").distinct()
     contents = arcs.mapInArrow(lambda batches: _content_batches(batches, level), CONTENTS).join(revisits, ["key", "digest"], "left")
-    ordered = contents.select("key", "digest", "url", "ip", "date", "mime", "truncated", "head", "record", "first")
-    _write(ordered.mapInArrow(lambda batches: _warc_batches(batches, segment, level), "blob binary"), warc_path)
+    _write(contents.select("key", "record", "first").mapInArrow(lambda batches: _warc_batches(batches, segment, level), "blob binary"), warc_path)
 
 
 # --- WARC ------------------------------------------------------------------------------------------------------------
@@ -321,7 +328,7 @@ def _record_batches(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterat
                     if base32_sha1(payload) != digest:
                         raise ValueError(f"record {fields['warc-record-id']}: the payload does not have its digest")
                 else:
-                    size_of = int(http_field(head, b"content-length") or 0)
+                    size_of = int(fields.get("x-payload-bytes") or http_field(head, b"content-length") or 0)
                 refers = key_of(fields["warc-refers-to"].strip("<>").removeprefix("urn:uuid:")) if kind == "revisit" else None
                 rows.append((int(named) if named else None, fields["warc-record-id"], kind, fields.get("warc-target-uri"), fields.get("warc-date"), size_of, digest, refers, payload if payloads and kind != "revisit" else None))
                 size += 200 + (len(payload) if payloads else 0)
