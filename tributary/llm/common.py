@@ -51,6 +51,13 @@ def discard(df: DataFrame) -> None:
         target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows, so that Python holds few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_batches(df: DataFrame, columns: list[str | Column], step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """mapInArrow over just these columns."""
     return df.select(*columns).mapInArrow(step, schema)

@@ -116,7 +116,7 @@ _NEAR = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.in
 
 
 def _mark_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in common.sliced(batches):
         base, near, around = [], [], []
         for value in batch.column(1):
             text = value.as_py() or ""

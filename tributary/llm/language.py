@@ -170,6 +170,8 @@ class Predictor:
         self.sums = np.concatenate(sums)
 
     def __call__(self, texts: list[str]) -> tuple[list[str], list[float]]:
+        if not self.model.languages:
+            return ["und"] * len(texts), [0.0] * len(texts)
         counted = [windows(x) for x in texts]
         if len(self.place) > self.cache:
             self.place, self.sums = {}, self.sums[:0]
@@ -178,7 +180,7 @@ class Predictor:
             self._learn(sorted(new))
         names, scores = [], []
         for text, found in zip(texts, counted):
-            if not self.model.languages or not found or not _LETTER.search(text):
+            if not found or not _LETTER.search(text):
                 names.append("und")
                 scores.append(0.0)
                 continue
@@ -223,11 +225,9 @@ def identify(docs: DataFrame, model: BiGRU, id_col: str = "doc_id", text_col: st
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = Predictor(model)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                names, scores = predict([x or "" for x in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+        for part in common.sliced(batches, 500):
+            names, scores = predict([x or "" for x in part.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return common.map_batches(docs, [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")], step, "doc_id bigint, lang_pred string, score double")
 

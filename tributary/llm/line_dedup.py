@@ -39,7 +39,7 @@ def _hash(key: bytes, min_chars: int) -> bytes | None:
 
 
 def _hash_batches(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in common.sliced(batches):
         ids, hashes = [], []
         for doc, text in zip(batch.column(0).to_pylist(), common.utf8(batch.column(1))):
             own = {h for line in text.split(b"\n") if (h := _hash(line_key(line), min_chars))}
@@ -63,7 +63,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _keep_batches(batches: Iterator[pa.RecordBatch], names: list[str], min_chars: int) -> Iterator[pa.RecordBatch]:
     """Rows of other columns, text and drops; the text becomes the kept text, the drops the two counts."""
-    for batch in batches:
+    for batch in common.sliced(batches):
         *others, texts, dropped = batch.columns
         kept, n_lines, n_dropped = [], [], []
         for text, drops in zip(common.utf8(texts), dropped):

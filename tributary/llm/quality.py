@@ -75,7 +75,7 @@ def statistics(text: str) -> list[float]:
 
 
 def _statistic_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in common.sliced(batches):
         rows = np.array([statistics(x.as_py() or "") for x in batch.column(1)], float).reshape(-1, len(STATISTICS))
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in rows.T)], ["doc_id", *STATISTICS])
 
