@@ -60,30 +60,38 @@ def match_lists(matches: DataFrame, universe: DataFrame) -> DataFrame:
     return universe.select("s1").distinct().join(lists, "s1", "left").select(F.col("s1").alias("source1_entity_id"), F.coalesce(F.array_join(F.array_distinct(F.transform("x", lambda r: r["cand"])), ","), F.lit("")).alias("matched_entity_ids"))
 
 
-def competitive(pairs: DataFrame, thresholds: DataFrame | dict[str, tuple[float, float]] | None = None, max_matches: int = MAX_MATCHES, checkpoint=None, max_rounds: int = 1000) -> DataFrame:
+def _cut(df: DataFrame) -> DataFrame:
+    """The frame written to the checkpoint folder, computed once."""
+    held = df.persist()
+    try:
+        return held.checkpoint()
+    finally:
+        held.unpersist()
+
+
+def competitive(pairs: DataFrame, thresholds: DataFrame | dict[str, tuple[float, float]] | None = None, max_matches: int = MAX_MATCHES, cut=_cut, max_rounds: int = 1000) -> DataFrame:
     """(s1, cand, p, rank): pairs by falling score, each candidate once, at most max_matches a record, further matches of a
     record only from the secondary threshold on.
 
     Equal to the sequential pass in the order (-p, s1, cand). Each round accepts the pairs that are first both for their
-    record and for their candidate; what they rule out goes, and the rest decides again. Rounds are cut by `checkpoint`.
+    record and for their candidate; what they rule out goes, and the rest decides again. A round is one written frame.
     """
     spark = pairs.sparkSession
     limits = COMPETITIVE if thresholds is None else thresholds
     if isinstance(limits, dict):
         limits = spark.createDataFrame([(c, float(a), float(b)) for c, (a, b) in limits.items()] or [], "country string, primary double, secondary double")
-    cut = checkpoint or (lambda df: df.checkpoint())
-    live = scored_pairs(pairs).where(is_candidate(F.col("cand"), False)).dropDuplicates(["s1", "cand"]).join(limits, "country").where("p >= primary").withColumn("held", F.lit(0))
-    live = cut(live)
+    live = scored_pairs(pairs).where(is_candidate(F.col("cand"), False)).dropDuplicates(["s1", "cand"]).join(limits, "country").where("p >= primary").select("s1", "cand", "p", "secondary", F.lit(0).alias("held"))
     done = None
     order = (F.desc("p"), "s1", "cand")
-    for number in range(max_rounds):
-        first = live.withColumns({"by_s1": F.row_number().over(Window.partitionBy("s1").orderBy(*order)), "by_cand": F.row_number().over(Window.partitionBy("cand").orderBy(*order))})
-        won = cut(first.where("by_s1 = 1 AND by_cand = 1").select("s1", "cand", "p", (F.col("held") + 1).alias("rank")))
-        if won.isEmpty():
+    for _ in range(max_rounds):
+        first = F.row_number().over(Window.partitionBy("s1").orderBy(*order)) + F.row_number().over(Window.partitionBy("cand").orderBy(*order)) == 2
+        marked = cut(live.withColumn("won", first))
+        won = marked.where("won").select("s1", "cand", "p", (F.col("held") + 1).alias("rank"))
+        if marked.isEmpty():
             break
         done = won if done is None else done.unionByName(won)
-        left = live.join(won.select("cand"), "cand", "left_anti").join(won.select("s1", "rank"), "s1", "left").withColumn("held", F.coalesce("rank", "held")).drop("rank")
-        live = cut(left.where((F.col("held") < max_matches) & ((F.col("held") == 0) | (F.col("p") >= F.col("secondary")))))
+        left = marked.where("NOT won").drop("won").join(won.select("cand"), "cand", "left_anti").join(won.select("s1", "rank"), "s1", "left").withColumn("held", F.coalesce("rank", "held")).drop("rank")
+        live = left.where((F.col("held") < max_matches) & ((F.col("held") == 0) | (F.col("p") >= F.col("secondary"))))
     else:
         raise RuntimeError(f"no end after {max_rounds} rounds")
     return spark.createDataFrame([], "s1 string, cand string, p double, rank int") if done is None else done

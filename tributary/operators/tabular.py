@@ -71,22 +71,29 @@ def label_encode(df: DataFrame, codes: DataFrame, column: str, out: str | None =
 
 
 def row_statistics(*columns: Column) -> dict[str, Column]:
-    """Sum, mean, sample deviation and adjusted skewness over a row's values that are not null; 0 where undefined."""
-    values = F.filter(F.array(*[c.cast("double") for c in columns]), lambda x: x.isNotNull() & ~F.isnan(x))
-    n = F.size(values).cast("double")
-    total = F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
-    mean = total / n
+    """Sum, mean, sample deviation and adjusted skewness over a row's values that are not null; 0 where undefined.
 
-    def moment(k: int) -> Column:
-        return F.aggregate(F.transform(values, lambda x: F.pow(x - mean, F.lit(float(k)))), F.lit(0.0), lambda s, x: s + x)
-
-    m2, m3 = moment(2) / n, moment(3) / n
-    skew = F.sqrt(n * (n - 1)) / (n - 2) * m3 / F.pow(m2, F.lit(1.5))
+    Plain arithmetic over the columns, so that it is compiled and common parts are computed once.
+    """
+    values = [F.nanvl(c.cast("double"), F.lit(None)) for c in columns]
+
+    def over(parts: list[Column]) -> Column:
+        out = F.lit(0.0)
+        for part in parts:
+            out = out + F.coalesce(part, F.lit(0.0))
+        return out
+
+    n = over([v.isNotNull().cast("double") for v in values])
+    total = over(values)
+    mean = total / F.nullif(n, F.lit(0.0))
+    m2, m3 = (over([F.pow(v - mean, F.lit(k)) for v in values]) for k in (2.0, 3.0))
+    variance = F.nullif(m2 / F.nullif(n, F.lit(0.0)), F.lit(0.0))
+    skew = F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0)) * (m3 / F.nullif(n, F.lit(0.0))) / F.pow(variance, F.lit(1.5))
     return {
         "row_sum": total,
-        "row_mean": F.when(n > 0, mean).otherwise(F.lit(0.0)),
-        "row_std": F.when(n > 1, F.sqrt(moment(2) / (n - 1))).otherwise(F.lit(0.0)),
-        "row_skew": F.when((n > 2) & (m2 > 1e-30), skew).otherwise(F.lit(0.0)),
+        "row_mean": F.coalesce(mean, F.lit(0.0)),
+        "row_std": F.when(n > 1, F.sqrt(m2 / F.nullif(n - 1, F.lit(0.0)))).otherwise(F.lit(0.0)),
+        "row_skew": F.when((n > 2) & (variance > 1e-30), skew).otherwise(F.lit(0.0)),
     }
 
 
