@@ -60,7 +60,7 @@ def match_lists(matches: DataFrame, universe: DataFrame) -> DataFrame:
     return universe.select("s1").distinct().join(lists, "s1", "left").select(F.col("s1").alias("source1_entity_id"), F.coalesce(F.array_join(F.array_distinct(F.transform("x", lambda r: r["cand"])), ","), F.lit("")).alias("matched_entity_ids"))
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     """The frame written to the checkpoint folder, computed once."""
     held = df.persist()
     try:
@@ -69,7 +69,7 @@ def _cut(df: DataFrame) -> DataFrame:
         held.unpersist()
 
 
-def competitive(pairs: DataFrame, thresholds: DataFrame | dict[str, tuple[float, float]] | None = None, max_matches: int = MAX_MATCHES, cut=_cut, max_rounds: int = 1000) -> DataFrame:
+def competitive(pairs: DataFrame, thresholds: DataFrame | dict[str, tuple[float, float]] | None = None, max_matches: int = MAX_MATCHES, cut=written, max_rounds: int = 1000) -> DataFrame:
     """(s1, cand, p, rank): pairs by falling score, each candidate once, at most max_matches a record, further matches of a
     record only from the secondary threshold on.
 

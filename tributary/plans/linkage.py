@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,8 @@ class Options:
     blend: tuple[float, float, float] = (0.5, 0.25, 0.25)
     scorer: models.PairScorer | None = None
     profile: str = "canonical"
+    #: Applied to prepared records, which several joins read; DataFrame.checkpoint writes them once for large inputs.
+    cut: Callable[[DataFrame], DataFrame] | None = None
     calibrated: DataFrame | None = field(default=None, repr=False)
 
 
@@ -60,7 +63,8 @@ def targets_of(s2: DataFrame, s3: DataFrame) -> DataFrame:
 
 
 def block(s1: DataFrame, targets: DataFrame, options: Options) -> DataFrame:
-    return blocking.generate(normalize.prepare(s1, options.profile), normalize.prepare(targets, options.profile), options.k, options.ceiling, options.max_postings)
+    cut = options.cut or (lambda df: df)
+    return blocking.generate(cut(normalize.prepare(s1, options.profile)), cut(normalize.prepare(targets, options.profile)), options.k, options.ceiling, options.max_postings)
 
 
 def featurize(candidates: DataFrame, s1: DataFrame, targets: DataFrame, kernel_features: bool = True) -> DataFrame:
@@ -117,10 +121,12 @@ def train(s1: DataFrame, targets: DataFrame, truth: DataFrame, options: Options
     pairs = files.truth_pairs(truth)
     mined = mining.hard_negatives(candidates, pairs, max_negatives)
     ranked = mining.training_pairs(candidates, pairs, targets).select("s1", "cand", "rank", F.when(F.col("is_blocker"), F.lit(1.0) / F.col("rank")).otherwise(F.lit(0.0)).alias("score"))
-    rows = features.pair_features(ranked.join(mined.select("s1", "cand"), ["s1", "cand"], "left_semi"), s1, targets).join(mined, ["s1", "cand"])
+    rows = features.pair_features(ranked.join(mined.select("s1", "cand"), ["s1", "cand"], "left_semi"), s1, targets).join(mined, ["s1", "cand"]).persist()
     model = (model or models.Ensemble(features.FEATURES)).fit(rows, "label", "s1")
+    rows.unpersist()
     universe = s1.select(F.trim("entity_id").alias("s1"), F.upper(text.null_to(F.col("country"), text.ID_NULL_TOKENS, "")).alias("country"))
-    scored = model.score(featurize(candidates, s1, targets)).select("s1", "cand", "p").join(universe, "s1")
+    # Both searches read the scores; checkpointed, they and the searches survive lost executors.
+    scored = assign.written(model.score(featurize(candidates, s1, targets)).select("s1", "cand", "p").join(universe, "s1"))
     by_country = calibrate.best_threshold(calibrate.curve(scored, truth, by_country=universe))
     return model, by_country, calibrate.best_threshold(calibrate.curve(scored, truth))
 

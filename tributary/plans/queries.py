@@ -250,7 +250,7 @@ def validation_rules(spark, sf_dir):
 
 def model_scores(spark, sf_dir):
     """A small ensemble on mined pairs of all records, its score for every candidate."""
-    rows = linkage.featurize(tier1(spark, sf_dir), *sides(records(spark, sf_dir)))
+    rows = assign.written(linkage.featurize(tier1(spark, sf_dir), *sides(records(spark, sf_dir))))
     labels = truth_pairs(spark, sf_dir).withColumn("label", F.lit(1))
     training = rows.join(labels, ["s1", "cand"], "left").withColumn("label", F.coalesce("label", F.lit(0)))
     model = models.Ensemble(features.FEATURES, options={"gbt": {"maxIter": 5, "maxDepth": 3}, "forest": {"numTrees": 8, "maxDepth": 4}}).fit(training, "label", "s1")
