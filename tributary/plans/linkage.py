@@ -148,14 +148,15 @@ def learn_table(train_rows: DataFrame, test_rows: DataFrame, config: files.Confi
     return cv, cv.predict(prepared.transform(test_rows), "prediction").select(c.id, "prediction")
 
 
-def records_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three sources of records made of the documents table: equal texts are true matches across sources."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    flat = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\n\t]", " ")
-    street, postal = (F.col("n_chars") % 997 + 1).cast("string"), (F.lit(10000) + F.col("n_chars") * 37 % 90000).cast("string")
-    return docs.select(
-        F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"),
-        F.substring(flat, 1, 40).alias("business_name"),
-        F.concat_ws(" ", street, F.substring(flat, 41, 60), postal).alias("business_address"),
-        F.col("lang").alias("country"),
+def records_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sources of records made of the pages table: title, address and language of each page. Equal titles across
+    sources are true matches. The numbers of the address come from the page's length, as pages have no street."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    size = F.length(F.coalesce("html", F.lit("")))
+    street, postal = (size % 997 + 1).cast("string"), (F.lit(10000) + size * 37 % 90000).cast("string")
+    return pages.select(
+        F.concat(F.lit("S"), (F.col("page_id") % 3 + 1).cast("string"), F.lit("-"), F.col("page_id").cast("string")).alias("entity_id"),
+        F.regexp_extract(F.coalesce("html", F.lit("")), "<title>([^<]*)</title>", 1).alias("business_name"),
+        F.concat_ws(" ", street, F.regexp_replace(F.coalesce("url", F.lit("")), "^https?://", ""), postal).alias("business_address"),
+        F.regexp_extract(F.coalesce("html", F.lit("")), '<html lang="([^"]*)"', 1).alias("country"),
     )

@@ -9,9 +9,9 @@ WORDS = "list_filter(regexp_split_to_array(regexp_replace({0}, '[^\\w\\s]', ' ',
 GRAMS = "CASE WHEN length({0}) >= 3 THEN list_transform(range(1, length({0}) - 1), lambda k: substr({0}, CAST(k AS INTEGER), 3)) ELSE {1} END"
 
 ENTITIES = """ent AS (
-  SELECT 'S' || CAST(doc_id % 3 + 1 AS VARCHAR) || '-' || CAST(doc_id AS VARCHAR) AS entity_id, substr(flat, 1, 40) AS business_name,
-    CAST(n_chars % 997 + 1 AS VARCHAR) || ' ' || substr(flat, 41, 60) || ' ' || CAST(10000 + n_chars * 37 % 90000 AS VARCHAR) AS business_address, lang AS country
-  FROM (SELECT *, regexp_replace(coalesce(text, ''), '[\\n\\t]', ' ', 'g') AS flat FROM documents))"""
+  SELECT 'S' || CAST(page_id % 3 + 1 AS VARCHAR) || '-' || CAST(page_id AS VARCHAR) AS entity_id, regexp_extract(coalesce(html, ''), '<title>([^<]*)</title>', 1) AS business_name,
+    CAST(length(coalesce(html, '')) % 997 + 1 AS VARCHAR) || ' ' || regexp_replace(coalesce(url, ''), '^https?://', '') || ' ' || CAST(10000 + length(coalesce(html, '')) * 37 % 90000 AS VARCHAR) AS business_address,
+    regexp_extract(coalesce(html, ''), '<html lang="([^"]*)"', 1) AS country FROM pages)"""
 
 _SUFFIXES = ", ".join(f"'{w}'" for w in LEGAL_SUFFIXES)
 
@@ -101,8 +101,7 @@ ASSIGNED = """claimed AS (
   SELECT s1, cand, p, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, cand) AS rank FROM claimed QUALIFY max(p) OVER (PARTITION BY s1) >= {singleton} AND rank <= {most})"""
 
 TRUTH = """pairs_true AS (
-  SELECT DISTINCT 'S1-' || CAST(a.doc_id AS VARCHAR) AS s1, 'S' || CAST(b.doc_id % 3 + 1 AS VARCHAR) || '-' || CAST(b.doc_id AS VARCHAR) AS cand
-  FROM documents a JOIN documents b ON a.text = b.text AND a.doc_id % 3 = 0 AND b.doc_id % 3 <> 0)"""
+  SELECT DISTINCT a.entity_id AS s1, b.entity_id AS cand FROM ent a JOIN ent b ON a.business_name = b.business_name AND a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%')"""
 
 T1 = _tier1()
 SCORED = _scored()
@@ -150,7 +149,7 @@ SQL = {
     "legacy_candidates": f"WITH {PREPARED}, {LEGACY} SELECT s1, cand, round(score, 6) AS score, rank FROM lg",
     "candidate_lists": f"WITH {PREPARED}, {T1} SELECT entity_id AS source1_entity_id, coalesce(string_agg(cand, ',' ORDER BY rank), '') AS candidate_entity_ids FROM s1 LEFT JOIN t1 ON s1.entity_id = t1.s1 GROUP BY entity_id",
     "dense_neighbours": """WITH d AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), m AS (
-      SELECT CAST(a.vec_id AS VARCHAR) AS s1, CAST(b.vec_id AS VARCHAR) AS cand, round(list_cosine_similarity(a.v, b.v), 9) AS score FROM d a, d b WHERE a.vec_id % 10 = 0 AND b.vec_id % 10 <> 0)
+      SELECT CAST(a.vec_id AS VARCHAR) AS s1, CAST(b.vec_id AS VARCHAR) AS cand, round(list_cosine_similarity(a.v, b.v), 9) AS score FROM d a, d b WHERE a.vec_id % 50 = 0)
       SELECT s1, cand, round(score, 6) AS score, row_number() OVER (PARTITION BY s1 ORDER BY score DESC, cand) AS rank FROM m QUALIFY rank <= 20""",
     "pair_features": f"""WITH {PREPARED}, {T1} SELECT c.s1, c.cand,
       (lower(trim(a.business_name)) = lower(trim(b.business_name)) AND trim(a.business_name) <> '')::INT::DOUBLE AS name_exact_match, (a.name = b.name AND a.name <> '')::INT::DOUBLE AS name_clean_exact_match,
@@ -194,7 +193,7 @@ SQL = {
       FROM (SELECT doc_id, coalesce(text, '') AS t, len(list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda x: x <> '')) AS w FROM documents)""",
     "clean_text": """SELECT page_id, md5(trim(regexp_replace(lower(regexp_replace(replace(replace(replace(replace(replace(replace(replace(coalesce(html, ''), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&amp;', '&'), '<[^>]+>', ' ', 'g')), '\\s+', ' ', 'g'), ' ')) AS cleaned FROM pages""",
     "list_codec": "SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS ids, count(*) AS n FROM orders GROUP BY o_custkey",
-    "validation_rules": """WITH l AS (SELECT 'S1-' || CAST(o_custkey AS VARCHAR) AS s1, 'S' || CAST(o_orderkey % 4 + 1 AS VARCHAR) || '-' || CAST(o_orderkey % 50 AS VARCHAR) AS id FROM orders), d AS (SELECT s1, id, count(*) AS k FROM l GROUP BY ALL), u AS (SELECT DISTINCT 'S1-' || CAST(c_custkey AS VARCHAR) AS s1 FROM customer WHERE c_custkey % 5 <> 0)
+    "validation_rules": """WITH l AS (SELECT 'S1-' || CAST(o_custkey AS VARCHAR) AS s1, 'S' || CAST(o_orderkey % 4 + 1 AS VARCHAR) || '-' || CAST(o_orderkey % 50 AS VARCHAR) AS id FROM orders), d AS (SELECT s1, id, count(*) AS k FROM l GROUP BY ALL), u AS (SELECT DISTINCT 'S1-' || CAST(c_custkey AS VARCHAR) AS s1 FROM customer WHERE c_acctbal >= 0)
       SELECT 'duplicate_s1' AS rule, 0::BIGINT AS n UNION ALL SELECT 'duplicate_id_in_list', count(*) FROM d WHERE k > 1 UNION ALL SELECT 'self_match', count(*) FROM l WHERE id LIKE 'S1-%' UNION ALL SELECT 'wrong_prefix', count(*) FROM l WHERE NOT regexp_matches(id, '^S[123]-')
       UNION ALL SELECT 'missing_s1', count(*) FROM u WHERE s1 NOT IN (SELECT s1 FROM l) UNION ALL SELECT 'extra_s1', count(DISTINCT s1) FROM l WHERE s1 NOT IN (SELECT s1 FROM u)""",
     "blocker_recall": f"WITH {PREPARED}, {T1}, {TRUTH} SELECT count(*) AS true_pairs, count(t1.cand) AS found, round(count(t1.cand) / count(*)::DOUBLE, 6) AS recall FROM pairs_true p LEFT JOIN t1 ON p.s1 = t1.s1 AND p.cand = t1.cand",

@@ -19,7 +19,7 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 def records(spark, sf_dir):
-    return linkage.records_of_documents(spark, sf_dir)
+    return linkage.records_of_pages(spark, sf_dir)
 
 
 def sides(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -33,10 +33,9 @@ def prepared(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 def truth_pairs(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    a = docs.where("doc_id % 3 = 0").select("text", F.concat(F.lit("S1-"), F.col("doc_id").cast("string")).alias("s1"))
-    b = docs.where("doc_id % 3 <> 0").select("text", F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("cand"))
-    return a.join(b, "text").select("s1", "cand").distinct()
+    s1, targets = sides(records(spark, sf_dir))
+    a = s1.select(F.col("entity_id").alias("s1"), "business_name")
+    return a.join(targets.select(F.col("entity_id").alias("cand"), "business_name"), "business_name").select("s1", "cand").distinct()
 
 
 def truth_lists(spark, sf_dir) -> DataFrame:
@@ -123,8 +122,9 @@ def candidate_lists(spark, sf_dir):
 
 
 def dense_neighbours(spark, sf_dir):
+    """The stated queries, every fiftieth id, against all rows."""
     vectors = table(spark, sf_dir, "embeddings")
-    return rounded(blocking.dense(vectors.where("vec_id % 10 = 0"), vectors.where("vec_id % 10 <> 0"), id_col="vec_id"))
+    return rounded(blocking.dense(vectors.where("vec_id % 50 = 0"), vectors, id_col="vec_id"))
 
 
 ORACLE_FEATURES = ["name_exact_match", "name_clean_exact_match", "name_jaro_winkler", "name_levenshtein_ratio", "name_char_3gram_jaccard", "name_length_diff", "name_length_ratio", "name_first_token_match", "name_common_tokens_count", "addr_token_jaccard", "addr_street_num_status", "addr_postal_code_status", "is_source2", "is_source3", "blocking_rank"]
@@ -244,7 +244,7 @@ def list_codec(spark, sf_dir):
 def validation_rules(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(F.concat(F.lit("S1-"), F.col("o_custkey").cast("string")).alias("s1"), F.concat(F.lit("S"), (F.col("o_orderkey") % 4 + 1).cast("string"), F.lit("-"), (F.col("o_orderkey") % 50).cast("string")).alias("id"))
     lists = rows.groupBy("s1").agg(F.array_join(F.collect_list("id"), ",").alias("ids"))
-    everyone = table(spark, sf_dir, "customer").where("c_custkey % 5 <> 0").select(F.concat(F.lit("S1-"), F.col("c_custkey").cast("string")).alias("s1"))
+    everyone = table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(F.concat(F.lit("S1-"), F.col("c_custkey").cast("string")).alias("s1"))
     return validate.id_lists(lists, everyone).select("rule", "n")
 
 
