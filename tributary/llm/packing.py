@@ -15,7 +15,9 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,8 +31,8 @@ from . import common
 MAX_TOKENS, MAX_SEGMENTS, END = 4096, 256, 2
 #: Open examples of a window; a window is packed when it is full.
 OPEN = 4096
-#: Words whose tokens a worker keeps.
-CACHE = 400_000
+#: Words whose tokens a worker keeps, and half as many as the pieces of words that it keeps.
+CACHE = 150_000
 
 
 class Packer:
@@ -128,7 +130,7 @@ def powers_of_two(sequence: list[tuple[int, int, int]], total: int) -> Iterator[
 
 
 #: What a worker keeps from one task to the next, by tokenizer.
-_KEPT: dict[str, dict[str, bytes]] = {}
+_KEPT: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 
 
 class WordTokens:
@@ -147,7 +149,8 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kept, self.cache = Tokenizer.from_file(path), _KEPT.setdefault(path, {}), cache
+        self.tokenizer, self.cache = Tokenizer.from_file(path), cache
+        self.kept, self.pieces = _KEPT.setdefault(path, ({}, {}))
         self.model = self.tokenizer.model
         # The byte-level alphabet: printable bytes stand for themselves, the others follow from code point 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -157,30 +160,47 @@ class WordTokens:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of letters in lower case, or of marks: what the model sees as one piece."""
+        shown = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
+        ids = array("I", [t.id for t in self.model.tokenize(shown)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        found = ids.tobytes()
+        if len(self.pieces) < 2 * self.cache:
+            self.pieces[piece] = found
+        return found
+
     def _word(self, word: str) -> bytes:
         core = word.rstrip(self.MARKS)
         low = core.lower()
-        if not (core.isalpha() and low.isalpha() and "\u03a3" not in core and unicodedata.is_normalized("NFC", core)):
-            return self._encode([word])[0]
-        pieces = [low if low.isascii() else "".join([self.alphabet[b] for b in low.encode()])]
-        if len(core) < len(word):
-            pieces.append(word[len(core) :])
-        ids = [t.id for piece in pieces for t in self.model.tokenize(piece)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        found = self.pieces.get(low) if core.isascii() else None
+        if found is None:
+            if not (low.isalpha() and (core.isascii() or core.isalpha() and "\u03a3" not in core and unicodedata.is_normalized("NFC", core))):
+                return self._encode([word])[0]
+            found = self.pieces.get(low) or self._piece(low)
+        if len(core) == len(word):
+            return found
+        marks = word[len(core) :]
+        return found + (self.pieces.get(marks) or self._piece(marks))
+
+    def _new(self, word: str) -> bytes:
+        """Kept while there is room: words that come early and often stay, rare ones are tokenised where they stand."""
+        ids = self._word(word)
+        if len(self.kept) < self.cache:
+            self.kept[word] = ids
+        return ids
 
     def __call__(self, text: str) -> bytes:
         if self.WHOLE.search(text):
             return self._encode([text])[0]
-        found, kept = text.split(), self.kept
-        try:
-            return b"".join(map(kept.__getitem__, found))
-        except KeyError:
-            if len(kept) > self.cache:
-                kept.clear()
-            for word in found:
-                if word not in kept:
-                    kept[word] = self._word(word)
-            return b"".join(map(kept.__getitem__, found))
+        found = text.split()
+        parts = list(map(self.kept.get, found))
+        if None in parts:
+            for k, part in enumerate(parts):
+                if part is None:
+                    parts[k] = self._new(found[k])
+        return b"".join(parts)
 
 
 PIECES = "id bigint, start bigint, length bigint, ids binary, tokens bigint, sequence_id bigint, offset bigint"
