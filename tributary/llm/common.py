@@ -14,7 +14,19 @@ UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 ASCII_LOWER = bytes.maketrans(UPPER, LOWER)
 
 
+#: Rows of an Arrow batch. Texts are long, so Spark's own default would hold tens of megabytes a task on either side.
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to BATCH_ROWS, unless they have been set to fewer than Spark's default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) >= 10_000:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
