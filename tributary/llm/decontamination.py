@@ -28,7 +28,7 @@ WINDOW = 10
 #: Documents of one shard hold about this many bytes of text.
 SHARD_BYTES = 8 << 20
 #: Test text of one block.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 #: Everything below 0x80 that is no letter or digit separates words.
 _WORDS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256)).translate(common.ASCII_LOWER)
