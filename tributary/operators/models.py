@@ -11,7 +11,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.feature import CountVectorizer, NGram, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.functions import text
@@ -95,6 +95,27 @@ class Ensemble:
             total = total + F.col(f"p_{kind}") * F.lit(weight)
         return self.components(df).withColumn(out, total)
 
+    def save(self, path: str, thresholds: DataFrame | None = None) -> None:
+        """A folder for each member, the weights, and the thresholds by country."""
+        spark = SparkSession.active()
+        for kind, member in self.members.items():
+            member.save(f"{path}/{kind}")
+        spark.createDataFrame(list(self.weights.items()), "kind string, weight double").coalesce(1).write.mode("overwrite").parquet(f"{path}/weights")
+        if thresholds is not None:
+            thresholds.write.mode("overwrite").parquet(f"{path}/thresholds")
+
+    @classmethod
+    def load(cls, path: str, features: list[str]) -> tuple[Ensemble, DataFrame | None]:
+        """(ensemble, thresholds or None) as they were saved."""
+        from tributary.sources.files import exists
+
+        spark = SparkSession.active()
+        weights = {r["kind"]: r["weight"] for r in spark.read.parquet(f"{path}/weights").collect()}
+        found = cls(features, tuple(sorted(weights)), weights)
+        for kind, member in found.members.items():
+            member.load(f"{path}/{kind}")
+        return found, spark.read.parquet(f"{path}/thresholds") if exists(spark, f"{path}/thresholds") else None
+
     def importances(self) -> dict[str, float]:
         mixed: dict[str, float] = {}
         for kind, member in self.members.items():
@@ -281,3 +302,38 @@ class PairScorer:
 
         step.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
         return pairs.withColumn(out, F.pandas_udf(step, "double")(F.col(a), F.col(b)))
+
+
+class LearnedPairScorer:
+    """A scorer of pairs of texts that is fitted: a logistic model over likenesses of the texts, all inside the JVM."""
+
+    FEATURES = ["word_jaccard", "gram_dice", "levenshtein", "length_ratio"]
+
+    def __init__(self) -> None:
+        self.model = TreeModel(self.FEATURES, "linear", regParam=1e-3)
+
+    def _likenesses(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
+        left, right = (F.lower(F.coalesce(c, F.lit(""))) for c in (a, b))
+        sizes = F.length(left), F.length(right)
+        return pairs.withColumns(
+            {
+                "word_jaccard": text.jaccard(F.array_distinct(text.tokens(left)), F.array_distinct(text.tokens(right))),
+                "gram_dice": text.dice(text.char_ngrams(left), text.char_ngrams(right)),
+                "levenshtein": text.levenshtein_ratio(left, right),
+                "length_ratio": F.coalesce(F.least(*sizes) / F.nullif(F.greatest(*sizes), F.lit(0)), F.lit(0.0)),
+            }
+        )
+
+    def fit(self, pairs: DataFrame, label: str = "label", a: str = "text_a", b: str = "text_b") -> LearnedPairScorer:
+        self.model.fit(self._likenesses(pairs, a, b), label)
+        return self
+
+    def score(self, pairs: DataFrame, a: str = "text_a", b: str = "text_b", out: str = "p_ce") -> DataFrame:
+        return self.model.score(self._likenesses(pairs, a, b), out).drop(*self.FEATURES)
+
+    def save(self, path: str) -> None:
+        self.model.save(path)
+
+    def load(self, path: str) -> LearnedPairScorer:
+        self.model.load(path)
+        return self

@@ -85,3 +85,10 @@ def prediction_file(df: DataFrame, id_col: str = "id", prediction_col: str = "pr
 
 def passes(rules: DataFrame) -> bool:
     return rules.where("n > 0").isEmpty()
+
+
+def gate(rules: DataFrame, warnings: tuple[str, ...] = ("match_not_a_candidate",)) -> None:
+    """Raise ValueError with all violated rules, if there are any besides warnings."""
+    bad = [r for r in rules.where("n > 0").orderBy("rule").collect() if r["rule"] not in warnings]
+    if bad:
+        raise ValueError("; ".join(f"{r['rule']}: {r['n']} (such as {r['example']})" for r in bad))

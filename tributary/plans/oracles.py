@@ -118,6 +118,9 @@ GRID = """curve AS (
         LEFT JOIN pairs_true t ON g.s1 = t.s1 AND g.cand = t.cand GROUP BY step, g.s1) f USING (step, s1)) GROUP BY step, tau)"""
 TAUS = "taus AS (SELECT k AS step, round(0.3::DOUBLE + k * (0.6::DOUBLE / 24), 10) AS tau FROM range(25) x(k))"
 
+TRAINING = """SELECT c.s1, c.cand, (p.cand IS NOT NULL)::INT AS label, TRUE AS is_blocker, CAST(rank AS INT) AS rank FROM t1 c LEFT JOIN pairs_true p ON c.s1 = p.s1 AND c.cand = p.cand
+      UNION ALL SELECT s1, cand, 1, FALSE, CAST(coalesce((SELECT max(rank) FROM t1 WHERE t1.s1 = p.s1), 0) + 1 AS INT) FROM pairs_true p ANTI JOIN t1 USING (s1, cand)"""
+
 ORDER_ROWS = "o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, CAST(('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % 5 AS fold"
 
 
@@ -203,4 +206,11 @@ SQL = {
     "candidate_percentiles": f"WITH {PREPARED}, {T1}, c AS (SELECT entity_id, count(cand) AS n FROM s1 LEFT JOIN t1 ON s1.entity_id = t1.s1 GROUP BY entity_id) SELECT count(*) AS records, round(avg(n), 6) AS mean, min(n) AS least, " + ", ".join(f"round(quantile_cont(n, {q / 100}), 6) AS p{q}" for q in (25, 50, 75, 90, 95, 99)) + ", max(n) AS most FROM c",
     "target_collisions": f"WITH {PREPARED}, {T1}, k AS (SELECT cand, count(DISTINCT s1) AS k FROM t1 GROUP BY cand) SELECT count(*) AS claimed, count(*) FILTER (WHERE k > 1) AS shared, round(avg((k > 1)::INT), 6) AS shared_share FROM k",
     "leaderboard": "WITH r AS (SELECT s_name AS run_name, 'run-' || CAST(s_suppkey AS VARCHAR) AS run_id, s_acctbal AS m FROM supplier) SELECT run_id, run_name, round(m, 6) AS macro_f05, row_number() OVER (ORDER BY m DESC, run_id) AS rank FROM r",
+    "pair_texts": f"WITH {ENTITIES} SELECT entity_id, 'name: ' || trim(business_name) || ' | addr: ' || trim(business_address) || ' | country: ' || trim(country) AS text FROM ent",
+    "focal_loss": """SELECT l_orderkey, l_linenumber, round((y * 0.25 + (1 - y) * 0.75) * pow(1 - exp(-e), 2) * e, 6) AS loss FROM (
+      SELECT l_orderkey, l_linenumber, y, greatest(x, 0) - x * y + ln(1 + exp(-abs(x))) AS e FROM (SELECT l_orderkey, l_linenumber, l_discount * 20 - 1 AS x, (l_returnflag = 'R')::INT::DOUBLE AS y FROM lineitem))""",
+    "training_pairs": f"WITH {PREPARED}, {T1}, {TRUTH} {TRAINING}",
+    "balanced_pairs": f"WITH {PREPARED}, {T1}, {TRUTH}, t AS ({TRAINING}) SELECT s1, cand, label FROM t QUALIFY row_number() OVER (PARTITION BY label ORDER BY md5('42:' || s1 || '|' || cand), s1, cand) <= 20",
+    "downsampled_targets": f"WITH {ENTITIES}, {TRUTH}, k AS (SELECT entity_id FROM ent WHERE entity_id NOT LIKE 'S1-%' AND entity_id IN (SELECT cand FROM pairs_true)), r AS (SELECT entity_id, row_number() OVER (ORDER BY md5('42:' || entity_id), entity_id) AS n FROM ent WHERE entity_id NOT LIKE 'S1-%' AND entity_id NOT IN (SELECT cand FROM pairs_true)) SELECT entity_id FROM k UNION ALL SELECT entity_id FROM r WHERE n <= greatest(0, 120 - (SELECT count(*) FROM k))",
+    "country_limits": f"WITH {ENTITIES}, c AS (SELECT DISTINCT upper(country) AS country, CASE WHEN upper(country) = 'EN' THEN 0.7::DOUBLE ELSE 0.5::DOUBLE + length(country) / 100 END AS t FROM ent WHERE entity_id LIKE 'S1-%') SELECT country, round(t, 6) AS tau_singleton, round(t * 0.85, 6) AS tau_secondary FROM c",
 }

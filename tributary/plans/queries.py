@@ -270,6 +270,41 @@ def text_components(spark, sf_dir):
     return rounded(found.select("doc_id", *[F.abs(c).alias(c) for c in found.columns if c.startswith("tfidf")]), 4)
 
 
+def pair_texts(spark, sf_dir):
+    return records(spark, sf_dir).select("entity_id", text.pair_text(F.col("business_name"), F.col("business_address"), F.col("country")).alias("text"))
+
+
+def focal_loss(spark, sf_dir):
+    loss = scores.focal_loss(F.col("l_discount") * 20 - 1, (F.col("l_returnflag") == "R").cast("double"))
+    return rounded(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", loss.alias("loss")))
+
+
+def training_pairs(spark, sf_dir):
+    return mining.training_pairs(tier1(spark, sf_dir), truth_pairs(spark, sf_dir)).select("s1", "cand", "label", "is_blocker", "rank")
+
+
+def balanced_pairs(spark, sf_dir):
+    return mining.balanced_subset(training_pairs(spark, sf_dir), 40).select("s1", "cand", "label")
+
+
+def downsampled_targets(spark, sf_dir):
+    return mining.downsample_targets(sides(records(spark, sf_dir))[1], truth_pairs(spark, sf_dir), 120).select("entity_id")
+
+
+def country_limits(spark, sf_dir):
+    """Thresholds by country: calibrated for all but one, the general one for that."""
+    some = universe(spark, sf_dir).select("country").distinct().where("country <> 'EN'").select("country", (F.lit(0.5) + F.length("country") / 100).alias("tau"))
+    return rounded(calibrate.effective_thresholds(universe(spark, sf_dir), some, tau=0.7))
+
+
+def learned_pair_scorer(spark, sf_dir):
+    s1, targets = sides(records(spark, sf_dir))
+    named = lambda df, i, t: df.select(F.col("entity_id").alias(i), F.col("business_name").alias(t))
+    pairs = training_pairs(spark, sf_dir).join(named(s1, "s1", "text_a"), "s1").join(named(targets, "cand", "text_b"), "cand")
+    pairs = assign.written(pairs)
+    return rounded(models.LearnedPairScorer().fit(pairs).score(pairs).select("s1", "cand", "p_ce"), 4)
+
+
 def leaderboard(spark, sf_dir):
     runs = table(spark, sf_dir, "supplier").select(F.concat(F.lit("run-"), F.col("s_suppkey").cast("string")).alias("run_id"), F.col("s_name").alias("run_name"), F.create_map(F.lit("macro_f05"), F.col("s_acctbal")).alias("metrics"))
     return rounded(reports.leaderboard(runs))
@@ -327,4 +362,11 @@ QUERIES = {
     "pair_scorer": pair_scorer,
     "text_components": text_components,
     "leaderboard": leaderboard,
+    "pair_texts": pair_texts,
+    "focal_loss": focal_loss,
+    "training_pairs": training_pairs,
+    "balanced_pairs": balanced_pairs,
+    "downsampled_targets": downsampled_targets,
+    "country_limits": country_limits,
+    "learned_pair_scorer": learned_pair_scorer,
 }

@@ -8,6 +8,7 @@ import os
 import tempfile
 import time
 import zipfile
+from collections.abc import Callable
 from dataclasses import dataclass, field, fields, is_dataclass
 from typing import Any
 
@@ -72,6 +73,13 @@ def load_competition(spark: SparkSession, train: str, test: str, id_col: str | N
     return read_table(spark, train, (id_col, target_col)), read_table(spark, test, (id_col,))
 
 
+def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The Parquet at the path; built and written first if it is not there. A feature matrix is computed once this way."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 # --- sinks -----------------------------------------------------------------------------------------------------------
 
 
