@@ -157,3 +157,42 @@ def test_reports(spark):
     assert got == {"US": (2, 1, 1, 50.0), "FR": (2, 1, 1, 50.0)}
     assert tuple(reports.match_profile(lists).first()) == (3, 3, 1.0, 1 / 3)
     assert tuple(reports.target_collisions(lists).first()) == (2, 1, 0.5)
+
+
+def test_ensemble_is_saved_with_its_thresholds(spark, tmp_path):
+    df = spark.createDataFrame([(float(k), float(k % 3), int(k % 3 > 1)) for k in range(60)], "a double, b double, label int")
+    model = models.Ensemble(["a", "b"], ("forest", "linear"), {"forest": 3, "linear": 1}, options={"forest": {"numTrees": 3}}).fit(df)
+    limits = spark.createDataFrame([("US", 0.6)], "country string, tau double")
+    model.save(str(tmp_path / "e"), limits)
+    again, kept = models.Ensemble.load(str(tmp_path / "e"), ["a", "b"])
+    assert again.score(df).collect() == model.score(df).collect() and kept.collect() == limits.collect()
+    assert model.weights == {"forest": 0.75, "linear": 0.25}
+
+
+def test_learned_pair_scorer(spark, tmp_path):
+    rows = [(f"acme tools {k}", f"acme tool {k}", 1) for k in range(20)] + [(f"acme tools {k}", f"zebra shop {k + 7}", 0) for k in range(20)] + [(None, "", 0)]
+    df = spark.createDataFrame(rows, "text_a string, text_b string, label int")
+    scorer = models.LearnedPairScorer().fit(df)
+    got = scorer.score(df)
+    assert got.columns == [*df.columns, "p_ce"]
+    assert all((r["p_ce"] > 0.5) == bool(r["label"]) for r in got.collect())
+    scorer.save(str(tmp_path / "s"))
+    assert models.LearnedPairScorer().load(str(tmp_path / "s")).score(df).collect() == got.collect()
+
+
+def test_gate_and_cached_frames(spark, tmp_path):
+    from tributary.sources import files
+
+    rules = spark.createDataFrame([("header", 0, ""), ("match_not_a_candidate", 3, "x")], "rule string, n long, example string")
+    validate.gate(rules)
+    with pytest.raises(ValueError, match="extra_s1: 2"):
+        validate.gate(rules.union(spark.createDataFrame([("extra_s1", 2, "S1-9")], rules.schema)))
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(3)
+
+    for _ in range(2):
+        assert files.cached(spark, str(tmp_path / "c"), build).count() == 3
+    assert len(built) == 1
