@@ -182,7 +182,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = linked.join(distinct, linked["node"] == distinct["fp"]).select("fp", "root", "first")
     least = named.groupBy("root").agg(F.min("first").alias("least"))
     moved = named.join(least, "root").select("fp", "least")
-    classes = distinct.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    # Stored, so that both sides of the last join are dealt out for it alone and Spark can split copies of one text.
+    classes = common.stored(distinct.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "classes")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
