@@ -61,7 +61,10 @@ def match_lists(matches: DataFrame, universe: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """The frame written to the checkpoint folder, computed once."""
+    """The frame written to the checkpoint folder (one in the warehouse where none is set), computed once."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     held = df.persist()
     try:
         return held.checkpoint()
