@@ -213,4 +213,6 @@ SQL = {
     "balanced_pairs": f"WITH {PREPARED}, {T1}, {TRUTH}, t AS ({TRAINING}) SELECT s1, cand, label FROM t QUALIFY row_number() OVER (PARTITION BY label ORDER BY md5('42:' || s1 || '|' || cand), s1, cand) <= 20",
     "downsampled_targets": f"WITH {ENTITIES}, {TRUTH}, k AS (SELECT entity_id FROM ent WHERE entity_id NOT LIKE 'S1-%' AND entity_id IN (SELECT cand FROM pairs_true)), r AS (SELECT entity_id, row_number() OVER (ORDER BY md5('42:' || entity_id), entity_id) AS n FROM ent WHERE entity_id NOT LIKE 'S1-%' AND entity_id NOT IN (SELECT cand FROM pairs_true)) SELECT entity_id FROM k UNION ALL SELECT entity_id FROM r WHERE n <= greatest(0, 120 - (SELECT count(*) FROM k))",
     "country_limits": f"WITH {ENTITIES}, c AS (SELECT DISTINCT upper(country) AS country, CASE WHEN upper(country) = 'EN' THEN 0.7::DOUBLE ELSE 0.5::DOUBLE + length(country) / 100 END AS t FROM ent WHERE entity_id LIKE 'S1-%') SELECT country, round(t, 6) AS tau_singleton, round(t * 0.85, 6) AS tau_secondary FROM c",
+    "concatenated_text": "SELECT event_id, coalesce(event_type, '') || ' | ' || coalesce(CAST(user_id AS VARCHAR), '') || ' | ' || coalesce(props, '') AS text FROM events",
 }
+SQL["written_candidates"] = SQL["candidate_lists"]

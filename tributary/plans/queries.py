@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions import kernels, scores, text
 from tributary.operators import assign, blocking, calibrate, features, mining, models, normalize, reports, tabular, validate
 from tributary.plans import linkage
+from tributary.sources import files
+from tributary.streaming import arrivals
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -305,6 +309,33 @@ def learned_pair_scorer(spark, sf_dir):
     return rounded(models.LearnedPairScorer().fit(pairs).score(pairs).select("s1", "cand", "p_ce"), 4)
 
 
+def _scratch(spark) -> str:
+    """A new path in the folder that all executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/tributary-{uuid.uuid4().hex}"
+
+
+def written_candidates(spark, sf_dir):
+    """The candidate file, written and read again."""
+    path = _scratch(spark)
+    files.write_candidates(candidate_lists(spark, sf_dir), path)
+    rows = spark.read.options(sep="\t", header=True, emptyValue="", nullValue="\x01").csv(path)
+    return rows.select("source1_entity_id", F.coalesce("candidate_entity_ids", F.lit("")).alias("candidate_entity_ids"))
+
+
+def arrivals_scored(spark, sf_dir):
+    """Targets that arrive as files of a stream, linked by micro-batches."""
+    folder = _scratch(spark)
+    s1, targets = sides(records(spark, sf_dir))
+    files.write_tsv(targets, f"{folder}/in")
+    arrivals.link_arrivals(arrivals.stream_records(spark, f"{folder}/in"), s1, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return rounded(spark.read.parquet(f"{folder}/out").select("s1", "cand", "p"))
+
+
+def concatenated_text(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", text.concat_text(F.col("event_type"), F.col("user_id"), F.col("props")).alias("text"))
+
+
 def leaderboard(spark, sf_dir):
     runs = table(spark, sf_dir, "supplier").select(F.concat(F.lit("run-"), F.col("s_suppkey").cast("string")).alias("run_id"), F.col("s_name").alias("run_name"), F.create_map(F.lit("macro_f05"), F.col("s_acctbal")).alias("metrics"))
     return rounded(reports.leaderboard(runs))
@@ -369,4 +400,7 @@ QUERIES = {
     "downsampled_targets": downsampled_targets,
     "country_limits": country_limits,
     "learned_pair_scorer": learned_pair_scorer,
+    "written_candidates": written_candidates,
+    "arrivals": arrivals_scored,
+    "concatenated_text": concatenated_text,
 }
