@@ -8,8 +8,9 @@ second hash; a fingerprint is, for each subset, a hash of the sorted distinct te
 there are none. Subsets are of several sizes, so that long texts and short ones both have subsets with few terms; the first
 part is that of the whole lexicon. A text without a term of the lexicon is known by all its terms.
 
-The likeness of two fingerprints is the share of equal parts among those that are not 0 in both; it is 1 if neither text
-has a term.
+The likeness of two fingerprints is the largest share of equal parts that a size of subsets has: large subsets tell near
+copies, small ones texts that have a part in common. Equal fingerprints, those of two texts without terms among them, have
+likeness 1.
 
 Null and empty texts have no terms. Equal texts have equal fingerprints. Rows with equal doc_id are ordered by text; a null
 doc_id comes last. An empty table gives an empty result. Extra columns are ignored.
@@ -26,9 +27,9 @@ from . import common
 BAND = (1e-3, 0.1)
 SLOT_BITS = 20
 #: Subsets by hash bits that a term must match: a subset of k bits takes 1 in 2^k terms of the lexicon.
-SUBSETS = (3, 6, 7, 8, 9, 10, 11)
+SUBSETS = (2, 3, 4, 5, 6, 7, 8, 9, 10)
 #: Independent series of subsets.
-SERIES = 10
+SERIES = 12
 #: Buckets of neighbouring documents hold about this many; quantiles of doc_id that are laid out before they are cut evenly.
 BUCKET_ROWS, QUANTILES = 1000, 256
 #: A table of bucket heads of up to so many rows is broadcast.
@@ -91,11 +92,19 @@ def add_fingerprint(rows: DataFrame, text_col: str, words: DataFrame, name: str,
     return rows.select(*kept, F.array("_hash", *parts).alias(name))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of equal parts among those that are not 0 in both fingerprints; 1 if there are none."""
-    same = F.zip_with(a, b, lambda x, y: F.when((x == 0) & (y == 0), None).otherwise((x == y).cast("int")))
-    held = F.filter(same, lambda x: x.isNotNull())
-    return F.when(F.size(held) > 0, F.aggregate(held, F.lit(0), lambda s, x: s + x) / F.size(held)).otherwise(F.lit(1.0))
+def likeness(a: Column, b: Column, series: int = SERIES, sizes: int = len(SUBSETS)) -> Column:
+    """The largest share of equal parts that a size of subsets has; 1 for equal fingerprints.
+
+    Shares are of the parts that are not 0 in both, or of half the series where there are fewer, so that a single subset
+    that happens to hold one common term does not count as a full match.
+    """
+    shares = []
+    for size in range(sizes):
+        pairs = F.zip_with(F.slice(a, 2 + size * series, series), F.slice(b, 2 + size * series, series), lambda x, y: F.when((x == 0) & (y == 0), F.lit(0)).when(x == y, F.lit(1001)).otherwise(F.lit(1)))
+        # Thousands count equal parts, ones count all.
+        total = F.aggregate(pairs, F.lit(0), lambda s, x: s + x)
+        shares.append(F.floor(total / 1000) / F.greatest(total % 1000, F.lit((series + 1) // 2)))
+    return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(*shares))
 
 
 def as_text(found: Column) -> Column:
