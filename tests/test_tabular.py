@@ -196,3 +196,13 @@ def test_gate_and_cached_frames(spark, tmp_path):
     for _ in range(2):
         assert files.cached(spark, str(tmp_path / "c"), build).count() == 3
     assert len(built) == 1
+
+
+def test_running_sums_over_buckets(spark):
+    rows = [(None, 2)] + [(float(k * k), k % 5) for k in range(-1, 300) if k]
+    df = spark.createDataFrame(rows, "v double, n long").dropDuplicates(["v"]).repartition(4)
+    values = df.toPandas()
+    for buckets in (1, 7, 256):
+        for r in tabular.running_sums(df, "v", ["n"], buckets).collect():
+            smaller = 0 if r["v"] is None else values[values["v"].isna() | (values["v"] < r["v"])]["n"].sum()
+            assert r["before_n"] == smaller

@@ -135,19 +135,35 @@ class Preprocessor:
         return self.fit(df).transform(df)
 
 
+def running_sums(df: DataFrame, order: str, sums: list[str], buckets: int = 256) -> DataFrame:
+    """The rows with `before_<column>`: the sum of a column over all rows whose (numeric) order is smaller. Orders are distinct.
+
+    Rows are dealt into buckets by approximate quantiles; a window runs inside each bucket, and the sums of the buckets
+    before it, a table of at most `buckets` + 1 rows, are added. No task sees more than its buckets.
+    """
+    cuts = sorted(set(df.agg(F.percentile_approx(F.col(order).cast("double"), [k / buckets for k in range(1, buckets)], 10_000)).first()[0] or []))
+    bucket = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < F.col(order).cast("double"))) if cuts else F.lit(0)
+    rows = df.withColumn("_bucket", F.coalesce(bucket, F.lit(0)))
+    totals = rows.groupBy(F.col("_bucket").alias("_of")).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_of", *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}") for c in sums])
+    inside = Window.partitionBy("_bucket").orderBy(F.col(order).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    joined = rows.join(F.broadcast(offsets), F.col("_bucket") == F.col("_of"))
+    return joined.select(*df.columns, *[(F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"before_{c}") for c in sums])
+
+
 # --- ranks and metrics -----------------------------------------------------------------------------------------------
 
 
 def percentile_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
     """Adds <column>_rank in [0, 1], ties sharing their mean rank; 0 in a frame of one row.
 
-    Ranks come from counts of distinct values, so what is ordered globally is values, not rows.
+    Ranks come from counts of distinct values and running_sums(), so no task orders all rows.
     """
     n = df.agg(F.count("*").alias("n")).select("n").scalar()
     for c in columns:
         counts = df.groupBy(F.col(c).alias("_v")).agg(F.count("*").alias("_k"))
-        below = F.sum("_k").over(Window.partitionBy(F.lit(0)).orderBy("_v")) - F.col("_k")
-        ranks = counts.select("_v", ((below + (F.col("_k") - 1) / 2) / F.greatest(n - 1, F.lit(1))).alias(f"{c}_rank"))
+        ranks = running_sums(counts, "_v", ["_k"]).select("_v", ((F.col("before__k") + (F.col("_k") - 1) / 2) / F.greatest(n - 1, F.lit(1))).alias(f"{c}_rank"))
         df = df.join(ranks, F.col(c).eqNullSafe(F.col("_v")), "left").drop("_v")
     return df
 
@@ -190,8 +206,7 @@ def _log_loss(y: Column, p: Column) -> Column:
 def _auc(df: DataFrame, y: str, p: str) -> DataFrame:
     """By the rank sum over distinct scores; null with one class only."""
     counts = df.groupBy(F.col(p).alias("v")).agg(F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("pos"), F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).alias("neg"))
-    below = F.sum("neg").over(Window.partitionBy(F.lit(0)).orderBy("v")) - F.col("neg")
-    return counts.withColumn("won", F.col("pos") * (below + F.col("neg") / 2)).agg((F.sum("won") / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("value"))
+    return running_sums(counts, "v", ["neg"]).withColumn("won", F.col("pos") * (F.col("before_neg") + F.col("neg") / 2)).agg((F.sum("won") / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("value"))
 
 
 METRICS: dict[str, Callable[[DataFrame, str, str], DataFrame]] = {
