@@ -50,8 +50,8 @@ def apply_target_means(df: DataFrame, means: DataFrame, column: str, out: str |
 def frequency_encode(df: DataFrame, column: str, train: DataFrame | None = None, out: str | None = None) -> DataFrame:
     """Adds each value's share of the non-null training values; unseen values and null get 0."""
     base = (df if train is None else train).where(F.col(column).isNotNull())
-    counts = base.groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("_n"))
-    shares = counts.withColumn("_share", F.col("_n") / F.sum("_n").over(Window.partitionBy(F.lit(0)))).drop("_n")
+    total = base.agg(F.count("*").alias("n")).select("n").scalar()
+    shares = base.groupBy(F.col(column).alias("_key")).agg((F.count("*") / total).alias("_share"))
     return df.join(shares, F.col(column) == F.col("_key"), "left").withColumn(out or f"{column}_freq", F.coalesce("_share", F.lit(0.0))).drop("_key", "_share")
 
 
