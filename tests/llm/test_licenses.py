@@ -66,6 +66,27 @@ def test_repeated_lines_are_fast():
     assert scan("Released under the MIT License.\n" * 20_000)[0][0] == "MIT-notice"
 
 
+def test_within_a_long_line():
+    scan = li.Scanner(li.TEMPLATES)
+    r = random.Random(4)
+    for name, body in li.TEMPLATES.items():
+        filler = [" ".join(f"w{r.randrange(500)}" for _ in range(3 * len(body.split()) + 20)) for _ in range(2)]
+        for text in (f"{filler[0]} {body} {filler[1]}", f"first\n{filler[0]} {body}\n{filler[1]}", f"{filler[0]} " + "\n".join(body.rsplit(" ", 2)) + f"\n{filler[1]}"):
+            found = {n: (d, a, b) for n, d, a, b in scan(text)}
+            assert found[name][0] > 0.99, name
+        assert {n: (a, b) for n, _, a, b in scan(f"first\n{filler[0]} {body}\n{filler[1]}")}[name] == (1, 2)
+
+
+def test_first_line_comes_again():
+    own = "alpha beta\ngamma delta\nalpha beta\nepsilon zeta"
+    assert li.Scanner({"own": own.replace("\n", " ")}, 1.0)(own)[0][1:] == (1.0, 0, 4)
+
+
+def test_repeated_words_of_a_line_are_fast():
+    scan = li.Scanner(li.TEMPLATES)
+    assert scan("some words before it that are of no use here at all " + "Released under the MIT License. " * 20_000)[0][0] == "MIT-notice"
+
+
 @pytest.mark.parametrize("which", ["nasty", "clashing"])
 def test_edge_cases(request, which, empty):
     df = request.getfixturevalue(which)

@@ -1,7 +1,8 @@
 """License scan: passages against license templates by the Dice coefficient of their word bigrams.
 
-A text's words are its lower-cased runs of letters and digits. A passage is a run of whole lines in which the words of the
-first line do not make up another line again; single lines are passages, and so is a whole text of different lines. It matches a template if the Dice coefficient of their sets of word bigrams, 2 |A and B| / (|A| +
+A text's words are its lower-cased runs of letters and digits. A passage is a run of whole lines; of a line with more
+bigrams than a passage that matches can have, any part is one too, so a run may begin or end within such a line. It
+matches a template if the Dice coefficient of their sets of word bigrams, 2 |A and B| / (|A| +
 |B|), is at least `threshold`; of a template's matches the largest coefficient counts, then the fewest lines, then the
 first. Sizes bound the coefficient: a passage of m distinct bigrams and a template of n reach t only if m is between n t /
 (2 - t) and n (2 - t) / t, and a text that holds fewer than n t / (2 - t) of a template's bigrams cannot match it at all,
@@ -103,34 +104,54 @@ class Scanner:
         return found
 
     def _best(self, lines: list[list[str]], template: set) -> tuple[float, int, int] | None:
-        """The best run of lines: each start is followed until the run has more bigrams than can match."""
+        """The best run of lines, or of words where a line is too long: each start is followed until the run has more bigrams than can match."""
         least, most = self.factor * len(template), len(template) / self.factor
-        # A run that matches starts and ends with a line that adds a bigram of the template, or it could be shorter.
+        units: list[list[str]] = []
+        line_of: list[int] = []
+        for k, line in enumerate(lines):
+            parts = [[w] for w in line] if len(line) - 1 > most and len(set(zip(line, line[1:]))) > most + 1e-9 else [line]
+            units += parts
+            line_of += [k] * len(parts)
+        # The first word after each unit.
+        after: list[str | None] = [None] * len(units)
+        for k in range(len(units) - 2, -1, -1):
+            after[k] = units[k + 1][0] if units[k + 1] else after[k + 1]
+        # A run that matches starts and ends with a unit that adds a bigram of the template, or it could be shorter.
         terms = {w for pair in template for w in pair}
-        at = [k for k, line in enumerate(lines) if any(w in terms for w in line)]
+        at = [k for k, unit in enumerate(units) if any(w in terms for w in unit)]
         best: tuple[float, int, int] | None = None
         for i, start in enumerate(at):
+            if len(units[start]) == 1 and (units[start][0], after[start]) not in template:
+                continue
             pairs: set = set()
             shared = 0
             last = None
-            done = start
+            done = done_last = start
             for end in at[i:]:
-                if end > start and lines[end] == lines[start]:
-                    break
-                for line in lines[done : end + 1]:
-                    run = [last, *line] if last is not None else line
+                again = False
+                for k in range(done, end + 1):
+                    unit = units[k]
+                    # Without its first unit a run has the same bigrams, if that unit and the word after it come again.
+                    if unit and k > start + 1 and done_last > start and units[done_last] == units[start] and unit[0] == after[start]:
+                        again = True
+                        break
+                    run = [last, *unit] if last is not None else unit
                     for pair in zip(run, run[1:]):
                         if pair not in pairs:
                             pairs.add(pair)
                             shared += pair in template
-                    last = line[-1] if line else last
+                    if unit:
+                        last, done_last = unit[-1], k
+                if again:
+                    break
                 done = end + 1
                 if len(pairs) > most + 1e-9:
                     break
                 if len(pairs) >= least - 1e-9:
                     value = 2 * shared / (len(pairs) + len(template))
-                    if value >= self.threshold - 1e-12 and (best is None or (-value, done - start, start) < (-best[0], best[2] - best[1], best[1])):
-                        best = (value, start, done)
+                    first, stop = line_of[start], line_of[end] + 1
+                    if value >= self.threshold - 1e-12 and (best is None or (-value, stop - first, first) < (-best[0], best[2] - best[1], best[1])):
+                        best = (value, first, stop)
         return best
 
 
