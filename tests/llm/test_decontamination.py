@@ -70,3 +70,12 @@ def test_proximity(spark):
     rows = {r["id"]: r for r in dc.decontaminate(docs, items, window=3, slop=5).collect()}
     assert {k: list(r["near_items"]) for k, r in rows.items()} == {1: ["7"], 2: ["7"], 3: [], 4: ["7"], 5: []}
     assert {k for k, r in rows.items() if r["items"]} == {4}
+
+
+def test_null_items_are_hit(spark):
+    """Windows of a null item hit words and name no item."""
+    docs = spark.createDataFrame([(1, "x a b c y"), (2, "x y")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "a b c"), (7, "b c")], "item_id long, text string")
+    for size in (1 << 20, 1):
+        found = {r["id"]: (list(r["hits"]), list(r["items"])) for r in dc.decontaminate(docs, items, block_bytes=size).collect()}
+        assert found == {1: ([1, 2, 3], ["7"]), 2: ([], [])}

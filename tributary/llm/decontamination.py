@@ -50,7 +50,7 @@ class Queries:
             for at in range(max(1, len(found) - window + 1) if found else 0):
                 held[tuple(found[at : at + window])].add(item)
         self.windows = [np.array(w, dtype=np.int64) for w in held]
-        self.items = [sorted(x) for x in held.values()]
+        self.items = [sorted(i for i in x if i is not None) for x in held.values()]
         # Shorter windows repeat their first term, which leaves the rarest one as it is.
         self.matrix = np.array([np.resize(w, window) for w in self.windows], dtype=np.int64).reshape(-1, window)
 
@@ -172,11 +172,11 @@ def search(index: DataFrame, queries: Queries, slop: int | None = None) -> DataF
 
 
 def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, bytes]]]:
-    """The test items in blocks of bounded size; a larger item makes a block of its own. Null items or texts hold no window."""
+    """The test items in blocks of bounded size; a larger item makes a block of its own. Null texts hold no window; of a null item they hit words but name no item."""
     block: list[tuple[str, bytes]] = []
     size = 0
     frame = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
-    for row in frame.where("item is not null and text is not null").toLocalIterator():
+    for row in frame.where("text is not null").toLocalIterator():
         text = row["text"].encode()
         if block and size + len(text) > block_bytes:
             yield block
