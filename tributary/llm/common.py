@@ -31,9 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one in the warehouse where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir. Only a local session may leave it unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -63,6 +66,24 @@ def discard(df: DataFrame) -> None:
         target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def sampled(share: float | Column, *keys: str | Column) -> Column:
+    """Whether the hash of the keys lies in the first share of all 63-bit numbers; any share above 1e-18 takes rows."""
+    hashed = F.xxhash64(*keys).bitwiseAND(F.lit((1 << 63) - 1)) / F.lit(float(1 << 63))
+    return hashed < share if isinstance(share, Column) else (F.lit(True) if share >= 1 else hashed < F.lit(float(share)))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The batches in parts of so many rows, so that Python holds few texts at a time."""
     for batch in batches:
