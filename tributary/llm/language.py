@@ -1,11 +1,14 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads a window of bytes in both directions and labels every position with language probabilities; a
-document's probabilities are the mean over all its positions. A window is a lower-cased word between two boundary bytes,
-cut every WINDOW bytes where it is longer, so every byte of every whole text is labelled and a word that occurs often is
-run through the network once a worker. The network is written in numpy and trained by backpropagation through time on
-windows of at most `sample` labelled documents, picked by the hash of their doc_id, never the held out ones; of their
-windows the `windows` most frequent ones are used, weighted by the logarithm of their counts.
+The network reads the bytes of a lower-cased text in both directions, across words, and labels every position with
+language probabilities; a document's probabilities are the mean over all its positions. Texts are read in windows of
+WINDOW bytes, cut between characters, so that many windows take a step together; the state starts anew at a window, and
+every byte of every whole text lies in one window. The network is written in numpy and trained by backpropagation through
+time.
+
+It learns from a bounded sample: at most about `sample` labelled documents that are not held out, shared out evenly among
+the languages (so a rare one keeps all its documents, LEAST_ROWS at least), picked by the hash of their doc_ids. Of each it takes up to PIECES pieces of
+PIECE bytes, spread evenly over the whole text. Prediction covers all rows and whole texts.
 
 Null texts and texts without a letter get `und` and score 0. With no labelled text every text gets `und`; with one
 language every text with a letter gets it. Rows with a null lang or doc_id are predicted, not learned from. Repeated
@@ -14,7 +17,6 @@ rows are repeated in the result. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,31 +29,34 @@ from pyspark.sql import functions as F
 from . import common
 from .quality import is_held_out
 
-SAMPLE, WINDOWS = 3000, 30_000
-HIDDEN, WINDOW, STEPS, BATCH, RATE, SEED = 16, 24, 700, 512, 0.01, 7
-#: Distinct windows that a worker keeps.
-CACHE = 400_000
-EDGE = 32
+#: Documents to learn from, those of a language at least, and pieces of each with their bytes.
+SAMPLE, LEAST_ROWS, PIECES, PIECE = 3000, 50, 8, 48
+HIDDEN, STEPS, BATCH, RATE, SEED = 8, 240, 192, 0.02, 7
+#: Bytes of a window, and bytes of text that are read together.
+WINDOW, TOGETHER = 128, 1 << 18
 _LETTER = regex.compile(r"\p{L}")
 
 
-def windows(text: str) -> Counter:
-    """The windows of a text with their counts."""
-    found: Counter = Counter()
-    for word, n in Counter(text.lower().split()).items():
-        raw = word.encode()
-        for at in range(0, len(raw), WINDOW):
-            found[raw[at : at + WINDOW]] += n
-    return found
+def windows(raw: np.ndarray, ends: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the windows of texts whose UTF-8 bytes follow each other in raw up to their ends."""
+    begins = np.r_[0, ends[:-1]].astype(np.int64)
+    n = -(-(ends - begins) // width)
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    starts = np.repeat(begins, n) + width * within
+    for _ in range(3):  # a character has at most three bytes after its first
+        starts -= (within > 0) & (raw[starts] & 0xC0 == 0x80)
+    lengths = np.diff(np.r_[starts, len(raw)])
+    return starts[lengths > 0], lengths[lengths > 0]
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _gate(x: np.ndarray) -> np.ndarray:
+    """The straight sigmoid: 0 up to -2.5, 1 from 2.5 on."""
+    return np.clip(0.2 * x + 0.5, 0, 1)
 
 
 @dataclass
 class BiGRU:
-    """Weights of both directions and of the labels; ids are bytes."""
+    """Weights of both directions (update gate, reset gate, new state) and of the labels; ids are bytes."""
 
     languages: list[str]
     weights: dict[str, np.ndarray] = field(default_factory=dict)
@@ -61,80 +66,119 @@ class BiGRU:
         rng = np.random.default_rng(seed)
         w = {}
         for way in "fb":
-            w[f"x{way}"] = rng.normal(0, 0.3, (256, 3 * hidden))
-            w[f"u{way}"] = rng.normal(0, 1 / np.sqrt(hidden), (hidden, 3 * hidden))
-        w["o"] = rng.normal(0, 1 / np.sqrt(2 * hidden), (2 * hidden, len(languages)))
+            w[f"x{way}"] = rng.normal(0, 0.3, (3, 256, hidden))
+            w[f"u{way}"] = rng.normal(0, 1 / np.sqrt(hidden), (3, hidden, hidden))
+            w[f"o{way}"] = rng.normal(0, 1 / np.sqrt(2 * hidden), (hidden, len(languages)))
         w["c"] = np.zeros(len(languages))
         return cls(languages, {k: v.astype(np.float32) for k, v in w.items()})
 
-    def _run(self, ids: np.ndarray, way: str, tape: list | None = None) -> np.ndarray:
-        """States at every position of ids (n, length); the tape keeps what the way back needs."""
-        x, u = self.weights[f"x{way}"], self.weights[f"u{way}"]
-        n, length = ids.shape
-        size = u.shape[0]
-        h, states = np.zeros((n, size), np.float32), np.zeros((n, length, size), np.float32)
-        for t in range(length) if way == "f" else range(length - 1, -1, -1):
-            own, past = x[ids[:, t]], h @ u[:, : 2 * size]
-            gates = _sigmoid(own[:, : 2 * size] + past)
-            z, r = gates[:, :size], gates[:, size:]
-            gated = h @ u[:, 2 * size :]
-            new = np.tanh(own[:, 2 * size :] + r * gated)
-            if tape is not None:
-                tape.append((t, h, z, r, gated, new))
-            h = new + z * (h - new)
-            states[:, t] = h
-        return states
-
-    def positions(self, ids: np.ndarray) -> np.ndarray:
-        """Language probabilities at every position."""
-        states = np.concatenate([self._run(ids, "f"), self._run(ids, "b")], axis=2)
-        scores = states @ self.weights["o"] + self.weights["c"]
-        scores = np.exp(scores - scores.max(axis=2, keepdims=True))
-        return scores / scores.sum(axis=2, keepdims=True)
+    def positions(self, ids: np.ndarray, running: list[int]) -> np.ndarray:
+        """Language probabilities (step, language, window) of windows ids (step, window) in order of falling length.
+
+        running counts the windows that reach each step: the first ones. Steps beyond a window's end get 0.
+        """
+        scores = np.zeros((len(ids), len(self.languages), ids.shape[1]), np.float32)
+        for way in "fb":
+            x, u, out = self.weights[f"x{way}"].copy(), self.weights[f"u{way}"].copy(), self.weights[f"o{way}"].T.copy()
+            # The gates' straight part is folded into their weights.
+            x[:2] = 0.2 * x[:2] + 0.5
+            u[:2] *= 0.2
+            size = u.shape[1]
+            h = np.zeros((running[0] if way == "f" and running else 0, size), np.float32)
+            for t in range(len(ids)) if way == "f" else range(len(ids) - 1, -1, -1):
+                n = running[t]
+                h = h[:n] if len(h) >= n else np.concatenate([h, np.zeros((n - len(h), size), np.float32)])
+                at = ids[t, :n]
+                gates = []
+                for k in (0, 1):
+                    gate = h @ u[k]
+                    gate += x[k].take(at, axis=0)
+                    np.maximum(gate, 0, out=gate)
+                    np.minimum(gate, 1, out=gate)
+                    gates.append(gate)
+                new = h @ u[2]
+                new *= gates[1]
+                new += x[2].take(at, axis=0)
+                np.tanh(new, out=new)
+                h = h - new
+                h *= gates[0]
+                h += new
+                scores[t, :, :n] += out @ h.T
+        scores += self.weights["c"][:, None]
+        np.exp(np.clip(scores, -40, 40, out=scores), out=scores)
+        scores /= scores.sum(axis=1, keepdims=True)
+        for t, n in enumerate(running):
+            scores[t, :, n:] = 0
+        return scores
 
     def gradients(self, ids: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
-        """Slopes of the weighted mean cross entropy over all positions, by backpropagation through time."""
-        tapes: dict[str, list] = {"f": [], "b": []}
-        states = np.concatenate([self._run(ids, way, tapes[way]) for way in "fb"], axis=2)
-        scores = states @ self.weights["o"] + self.weights["c"]
+        """Slopes of the weighted mean cross entropy over all positions of ids (step, window), by backpropagation through time."""
+        steps, n = ids.shape
+        tapes: dict[str, list] = {}
+        scores = np.zeros((steps, n, len(self.languages)), self.weights["c"].dtype)
+        for way in "fb":
+            x, u = self.weights[f"x{way}"], self.weights[f"u{way}"]
+            h, tape = np.zeros((n, u.shape[1]), u.dtype), []
+            for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
+                z, r = (_gate(x[k][ids[t]] + h @ u[k]) for k in (0, 1))
+                gated = h @ u[2]
+                new = np.tanh(x[2][ids[t]] + r * gated)
+                after = new + z * (h - new)
+                tape.append((t, h, z, r, gated, new, after))
+                h = after
+                scores[t] += h @ self.weights[f"o{way}"]
+            tapes[way] = tape
+        scores += self.weights["c"]
         p = np.exp(scores - scores.max(axis=2, keepdims=True))
         p /= p.sum(axis=2, keepdims=True)
-        p[np.arange(len(ids)), :, labels] -= 1
-        p *= (weight / weight.sum() / ids.shape[1])[:, None, None]
-        out = {"o": np.einsum("nth,ntk->hk", states, p), "c": p.sum(axis=(0, 1))}
-        down = p @ self.weights["o"].T
-        size = down.shape[2] // 2
-        for way, part in (("f", down[:, :, :size]), ("b", down[:, :, size:])):
-            u = self.weights[f"u{way}"]
-            dx, du, carry = np.zeros_like(self.weights[f"x{way}"]), np.zeros_like(u), np.zeros((len(ids), size), np.float32)
-            for t, h, z, r, gated, new in reversed(tapes[way]):
-                dh = part[:, t] + carry
+        p[:, np.arange(n), labels] -= 1
+        p *= (weight / weight.sum() / steps)[None, :, None]
+        slopes = {"c": p.sum(axis=(0, 1))}
+        # The bytes in order, each with its run: slopes of a byte's weights are summed over its places.
+        order = np.argsort(ids.ravel(), kind="stable")
+        places = ids.ravel()[order]
+        runs = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
+        for way in "fb":
+            u, out, tape = self.weights[f"u{way}"], self.weights[f"o{way}"], tapes[way]
+            size = u.shape[1]
+            down = np.zeros((steps, n, 3 * size), p.dtype)
+            befores, afters, carry = np.zeros((steps, n, size), p.dtype), np.zeros((steps, n, size), p.dtype), 0
+            above = p @ out.T
+            for t, h, z, r, gated, new, after in reversed(tape):
+                dh = above[t] + carry
                 dn = dh * (1 - z) * (1 - new * new)
-                dz = dh * (h - new) * z * (1 - z)
-                dr = dn * gated * r * (1 - r)
-                zr = np.concatenate([dz, dr], axis=1)
-                du[:, : 2 * size] += h.T @ zr
-                du[:, 2 * size :] += h.T @ (dn * r)
-                carry = dh * z + zr @ u[:, : 2 * size].T + (dn * r) @ u[:, 2 * size :].T
-                np.add.at(dx, ids[:, t], np.concatenate([zr, dn], axis=1))
-            out[f"x{way}"], out[f"u{way}"] = dx, du
-        return out
-
-    def fit(self, examples: list[tuple[bytes, int, int]], steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = SEED) -> BiGRU:
-        """examples: window, language number, count. Adam over batches of windows of one length."""
+                dz = dh * (h - new) * 0.2 * ((z > 0) & (z < 1))
+                dr = dn * gated * 0.2 * ((r > 0) & (r < 1))
+                carry = dh * z + dz @ u[0].T + dr @ u[1].T + (dn * r) @ u[2].T
+                down[t, :, :size], down[t, :, size : 2 * size], down[t, :, 2 * size :] = dz, dr, dn
+                befores[t], afters[t] = h, after
+            flat = down.reshape(-1, 3 * size)
+            dx = np.zeros((256, 3 * size), p.dtype)
+            dx[places[runs]] = np.add.reduceat(flat[order], runs, axis=0)
+            resets = np.stack([r for t, _, _, r, *_ in sorted(tape, key=lambda x: x[0])])
+            gated_down = np.concatenate([down[:, :, : 2 * size], down[:, :, 2 * size :] * resets], axis=2).reshape(-1, 3 * size)
+            du = befores.reshape(-1, size).T @ gated_down
+            slopes[f"x{way}"] = dx.reshape(256, 3, size).transpose(1, 0, 2)
+            slopes[f"u{way}"] = du.reshape(size, 3, size).transpose(1, 0, 2)
+            slopes[f"o{way}"] = afters.reshape(-1, size).T @ p.reshape(-1, p.shape[2])
+        return slopes
+
+    def fit(self, examples: list[tuple[bytes, int]], steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = SEED) -> BiGRU:
+        """examples: piece and language number. Adam over batches of pieces of one length, languages alike in number."""
         rng = np.random.default_rng(seed)
         by: dict[int, list] = {}
-        for window, language, n in examples:
-            by.setdefault(len(window), []).append((window, language, n))
-        groups = [(_ids([w for w, _, _ in g]), np.array([k for _, k, _ in g]), np.log1p([n for _, _, n in g]).astype(np.float32)) for _, g in sorted(by.items())]
-        share = np.array([len(g[0]) for g in groups], float)
+        for piece, language in examples:
+            by.setdefault(len(piece), []).append((piece, language))
+        groups = [(np.frombuffer(b"".join(p for p, _ in g), np.uint8).reshape(len(g), -1), np.array([k for _, k in g])) for _, g in sorted(by.items())]
+        total = np.bincount([k for _, k in examples], minlength=len(self.languages))
+        share = np.array([g[0].size for g in groups], float)
         share /= share.sum()
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
         for step in range(1, steps + 1):
-            ids, labels, weight = groups[rng.choice(len(groups), p=share)]
+            ids, labels = groups[rng.choice(len(groups), p=share)]
             some = rng.integers(0, len(ids), min(batch, 4 * len(ids)))
-            for k, slope in self.gradients(ids[some], labels[some], weight[some]).items():
+            for k, slope in self.gradients(ids[some].T, labels[some], (1 / total[labels[some]]).astype(np.float32)).items():
                 first[k] = 0.9 * first[k] + 0.1 * slope
                 second[k] = 0.99 * second[k] + 0.01 * slope**2
                 pace = rate * min(1, 2 * (1 - step / (steps + 1)))
@@ -142,81 +186,69 @@ class BiGRU:
         return self
 
 
-def _ids(found: list[bytes]) -> np.ndarray:
-    """Bytes between two edges; all windows have one length."""
-    raw = np.frombuffer(b"".join(found), np.uint8).reshape(len(found), -1)
-    return np.pad(raw, ((0, 0), (1, 1)), constant_values=EDGE)
-
-
 class Predictor:
     """Pools the position probabilities of whole texts."""
 
-    def __init__(self, model: BiGRU, cache: int = CACHE) -> None:
-        self.model, self.cache, self.place = model, cache, {}
-        self.sums = np.zeros((0, len(model.languages)))
-
-    def _learn(self, new: list[bytes]) -> None:
-        by: dict[int, list[bytes]] = {}
-        for w in new:
-            by.setdefault(len(w), []).append(w)
-        sums = [self.sums]
-        at = len(self.sums)
-        for group in by.values():
-            for k in range(0, len(group), 4096):
-                part = group[k : k + 4096]
-                sums.append(self.model.positions(_ids(part))[:, 1:-1].sum(axis=1, dtype=float))
-                self.place.update(zip(part, range(at, at + len(part))))
-                at += len(part)
-        self.sums = np.concatenate(sums)
+    def __init__(self, model: BiGRU, width: int = WINDOW, together: int = TOGETHER) -> None:
+        self.model, self.width, self.together = model, width, together
+
+    def _sums(self, raw: list[bytes]) -> np.ndarray:
+        """The mean probabilities of each text; windows are read together up to a number of bytes."""
+        sums = np.zeros((len(raw), len(self.model.languages)))
+        flat, ends = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(x) for x in raw])
+        starts, lengths = windows(flat, ends, self.width)
+        order = np.argsort(-lengths, kind="stable")
+        per = max(1, self.together // self.width)
+        for k in range(0, len(order), per):
+            some = order[k : k + per]
+            at, long = starts[some], lengths[some]
+            steps = np.arange(long[0])
+            ids = flat[np.minimum(at + steps[:, None], len(flat) - 1)]
+            found = self.model.positions(ids, np.searchsorted(-long, -steps, side="left").tolist())
+            np.add.at(sums, np.searchsorted(ends, at, side="right"), found.sum(axis=0, dtype=float).T)
+        return sums / np.maximum(sums.sum(axis=1, keepdims=True), 1e-300)
 
     def __call__(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        if not self.model.languages:
-            return ["und"] * len(texts), [0.0] * len(texts)
-        counted = [windows(x) for x in texts]
-        if len(self.place) > self.cache:
-            self.place, self.sums = {}, self.sums[:0]
-        new = {w for c in counted for w in c if w not in self.place}
-        if new:
-            self._learn(sorted(new))
-        names, scores = [], []
-        for text, found in zip(texts, counted):
-            if not found or not _LETTER.search(text):
-                names.append("und")
-                scores.append(0.0)
-                continue
-            at = np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))
-            n = np.fromiter(found.values(), float, len(found))
-            pooled = n @ self.sums[at]
-            pooled /= pooled.sum()
-            best = int(np.argmax(pooled))
-            names.append(self.model.languages[best])
-            scores.append(float(min(1.0, pooled[best])))
+        names, scores = ["und"] * len(texts), [0.0] * len(texts)
+        known = [k for k, x in enumerate(texts) if _LETTER.search(x)] if self.model.languages else []
+        if known:
+            found = self._sums([texts[k].lower().encode() for k in known])
+            best = found.argmax(axis=1)
+            for k, b, row in zip(known, best.tolist(), found):
+                names[k], scores[k] = self.model.languages[b], float(min(1.0, row[b]))
         return names, scores
 
 
-def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows: Counter = Counter()
-        for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
-            for w, n in windows(text.as_py() or "").items():
-                rows[w, lang] += n
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.binary()), pa.array([x for _, x in rows], pa.string()), pa.array(list(rows.values()), pa.int64())], ["window", "lang", "n"])
+def pieces(text: str, most: int = PIECES, size: int = PIECE) -> list[bytes]:
+    """Up to so many pieces of so many bytes of a lower-cased text, spread evenly over it; a shorter text is one piece."""
+    raw = text.lower().encode()
+    if len(raw) <= size:
+        return [raw] if raw else []
+    n = min(most, len(raw) // size)
+    return [raw[at : at + size] for at in np.linspace(0, len(raw) - size, n).astype(int).tolist()]
+
+
+def _piece_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in common.sliced(batches):
+        found = [(p, lang) for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for p in pieces(text or "")]
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.binary()), pa.array([x for _, x in found], pa.string())], ["piece", "lang"])
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, max_windows: int = WINDOWS, steps: int = STEPS) -> BiGRU:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, steps: int = STEPS) -> BiGRU:
     """The network of the labelled documents that are not held out."""
     known = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
     langs = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    total = sum(langs.values())
-    share = min(1.0, sample / max(total, 1))
-    some = known.where(F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_000)) < int(share * 1_000_000))
-    counts = some.select("text", "lang").mapInArrow(_window_batches, "window binary, lang string, n bigint").groupBy("window", "lang").agg(F.sum("n").alias("n"))
-    rows = counts.orderBy(F.desc("n"), "window", "lang").limit(max_windows).collect()
-    languages = sorted({r["lang"] for r in rows})
+    if not langs:
+        return BiGRU.new([])
+    own = max(LEAST_ROWS, sample // len(langs))
+    shares = F.create_map(*[F.lit(x) for lang, n in sorted(langs.items()) for x in (lang, own / n)])
+    some = known.where(common.sampled(F.element_at(shares, F.col("lang")), "doc_id", F.lit("language")))
+    rows = some.select("text", "lang").mapInArrow(_piece_batches, "piece binary, lang string").toPandas().sort_values(["lang", "piece"])
+    languages = sorted(set(rows["lang"]))
     model = BiGRU.new(languages)
     if len(languages) > 1:
         number = {x: k for k, x in enumerate(languages)}
-        model.fit([(bytes(r["window"]), number[r["lang"]], r["n"]) for r in rows], steps)
+        model.fit([(bytes(p), number[x]) for p, x in zip(rows["piece"], rows["lang"])], steps)
     return model
 
 
