@@ -69,3 +69,21 @@ def test_edge_cases(nasty, clashing, empty, spark):
         assert len(rows) == nasty.count() and all(0 <= r["score"] <= 1 for r in rows)
     assert quality.score_quality(empty, labels).collect() == []
     assert quality.keep_good(empty, labels).collect() == []
+
+
+def test_shared_ids_and_names(corpus):
+    """Rows that share a labelled doc_id count once; the user's columns stay as they are."""
+    docs, labels = corpus
+    many = docs.unionByName(docs.where("doc_id = 7")).unionByName(docs.where("doc_id = 7"))
+    a = {(r["doc_id"], r["score"]) for r in quality.score_quality(docs, labels).collect()}
+    assert {(r["doc_id"], r["score"]) for r in quality.score_quality(many, labels).collect()} == a
+    named = docs.select("*", F.lit(1).alias("statistics"), F.lit(2).alias("_statistics"), F.lit(3).alias("a.b"))
+    kept = quality.keep_good(named, labels)
+    assert kept.columns == named.columns and {tuple(r[2:]) for r in kept.collect()} == {(1, 2, 3)}
+
+
+def test_sample_is_a_share(corpus):
+    docs, labels = corpus
+    n = quality.labelled(labels, sample=100).count()
+    assert 60 < n < 140
+    assert quality.keep_good(docs, labels, sample=100).count() == 240

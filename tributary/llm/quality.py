@@ -10,7 +10,7 @@ The labelled sample is a hash-ordered share of all labelled rows: where there ar
 probability sample / rows, by its doc_id's hash. Everything else covers all rows.
 
 Null and empty texts have statistics of 0 and a score like any other. Rows with a null or unlabelled doc_id are scored
-and never learned from. With no labels, or with labels of one class only, the score is the share of label 1 (0.5 with
+and never learned from; of rows that share a labelled doc_id one is learned from. With no labels, or with labels of one class only, the score is the share of label 1 (0.5 with
 none). Repeated rows are repeated in the result. Extra columns are ignored.
 """
 
@@ -35,6 +35,8 @@ STATISTICS = [
     "words_per_line", "sentence_ends",
 ]
 SAMPLE, THRESHOLD = 20_000, 0.7
+#: A sample of up to so many rows, of a number and a label each, is broadcast.
+BROADCAST_ROWS = 100_000
 TREES, DEPTH, BINS, RATE, PENALTY = 24, 3, 32, 0.3, 2e-3
 
 _LETTERS = bytes(c for c in range(256) if c >= 0x80 or chr(c).isalpha())
@@ -209,29 +211,41 @@ class RuleModel:
         return 1 / (1 + np.exp(-margin))
 
 
-def fit_on(stats: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE) -> RuleModel:
-    """The model of the labelled rows that are not held out."""
+def labelled(labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, label) of the labelled rows that are not held out, or of a hash-ordered share of about `sample` of them."""
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label_col).cast("double").alias("label")).where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
-    share = min(1.0, sample / max(known.count(), 1))
-    known = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = stats.join(known, "doc_id").select("doc_id", *STATISTICS, "label").toPandas().sort_values(["doc_id", *STATISTICS, "label"])
+    return known.where(common.sampled(sample / max(known.count(), 1), "doc_id", F.lit("sample")))
+
+
+def _hinted(known: DataFrame, sample: int) -> DataFrame:
+    return F.broadcast(known) if sample <= BROADCAST_ROWS else known
+
+
+def fit_on(stats: DataFrame, known: DataFrame) -> RuleModel:
+    """The model of the rows of stats (doc_id and STATISTICS) that have a label; one row, the least, for each doc_id and label."""
+    rows = stats.join(known, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(*STATISTICS)).alias("s"))
+    rows = rows.select("doc_id", "s.*", "label").toPandas().sort_values(["doc_id", "label"])
     return RuleModel.fit(rows[STATISTICS].to_numpy(float), rows["label"].to_numpy(float), STATISTICS)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted."""
     stats = common.stored(text_statistics(docs, id_col, text_col), "statistics")
-    model = fit_on(stats, labels, label_col, sample)
+    model = fit_on(stats, _hinted(labelled(labels, label_col, sample), sample))
     scored = stats.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), model.score_column().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
-    """The rows, with their own columns, whose score reaches the threshold."""
-    model = fit_on(text_statistics(docs, id_col, text_col), labels, label_col, sample)
+    """The rows, with their own columns, whose score reaches the threshold. Rows to learn from are picked before they are measured."""
+    known = labelled(labels, label_col, sample)
+    ids = _hinted(known.select("doc_id").distinct(), sample)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    model = fit_on(text_statistics(rows.join(ids, "doc_id", "left_semi")), _hinted(known, sample))
     measure = F.pandas_udf(_statistic_frame, T.StructType([T.StructField(s, T.DoubleType()) for s in STATISTICS]))
-    found = docs.withColumn("_statistics", measure(F.col(text_col).cast("string")))
-    return found.where(model.score_column("_statistics") >= threshold).select(*docs.columns)
+    (name,) = common.fresh(docs, "statistics")
+    found = docs.withColumn(name, measure(F.col(text_col).cast("string")))
+    return found.where(model.score_column(name) >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:
