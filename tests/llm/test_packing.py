@@ -104,3 +104,47 @@ def test_little_padding(spark, tokenizer):
 
     docs = [(k, words(k, 20 + 37 * k)) for k in range(60)]
     assert check(packing.pack(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), NAME).collect(), docs, tokenizer) <= 12
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_any_tokenizer_gives_its_own_ids(name):
+    """Words are kept for a tokenizer of the known form alone."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    tokens = packing.WordTokens(public_tokenizers.path(name))
+    assert tokens.by_word == (name == NAME)
+    for text in ("Hello World", "  two  spaces ", "École's 12 x", "a\n\nb", ""):
+        assert tokens(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_one_short_end_a_partition(spark, tokenizer):
+    """Short sequences are carried over windows: a partition ends in one sequence's powers of two."""
+    from .conftest import words
+
+    docs = [(k, words(k, 5 + 13 * (k % 40))) for k in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    for window in (1, 7, 50):
+        rows = packing.pack(df, NAME, window=window, max_tokens=512).collect()
+        assert check(rows, docs, tokenizer, 512) <= 9
+
+
+def test_conversations_under_a_loss_limit(spark, tokenizer):
+    """Instruction data: the answers bear loss, and their limit binds before the tokens do."""
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").orderBy("conv_id", "turn").collect()
+    by = defaultdict(list)
+    for t in turns:
+        by[t["conv_id"]].append((t["role"], t["text"] or ""))
+    rows = []
+    for conv, said in sorted(by.items()):
+        prompt = " ".join(x for role, x in said if role != "assistant")
+        rows.append((conv, prompt + " " + " ".join(x for role, x in said if role == "assistant"), prompt))
+    df = spark.createDataFrame(rows, "doc_id long, text string, prompt string").coalesce(1)
+    found = packing.pack(df, NAME, prompt_col="prompt", max_tokens=1024, max_segments=12, max_loss=256).collect()
+    prompts = {d: len(ids_of(tokenizer, p)) // 4 - 1 for d, _, p in rows}
+    loss, segments, sizes = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in found:
+        loss[r["sequence_id"]] += max(0, r["start"] + r["length"] - max(r["start"], min(prompts[r["id"]], r["tokens"] - 1)))
+        segments[r["sequence_id"]] += 1
+        sizes[r["sequence_id"]] += r["length"]
+    assert max(loss.values()) == 256 and max(segments.values()) <= 12 and max(sizes.values()) <= 1024
+    assert sum(x == 256 for x in loss.values()) > len(loss) // 4
+    assert sum(sizes.values()) == sum(len(ids_of(tokenizer, t)) // 4 for _, t, _ in rows)

@@ -4,7 +4,9 @@ An example needs tokens, a segment and loss-bearing tokens; a sequence has a lim
 window of open examples and fills one sequence at a time: of the examples that fit, it takes the one with the largest dot
 product of its needs and what is still free, both as shares of the limits. Examples longer than a sequence are cut into
 whole sequences first. When nothing fits and cutting is allowed, the best example is cut so that it fills the sequence.
-The last sequence of a window that stays short is cut into lengths that are powers of two, which need no padding.
+A sequence that stays short when a window is used up goes on in the next window; that of an input partition's last window
+is cut into lengths that are powers of two, which need no padding, and so is one that is short as it has reached another
+limit.
 
 Packing is local to an input partition, so nothing is shuffled and no task holds more than one window of examples. Null
 and empty texts are examples of one token, the end token. Repeated rows are packed as often as they occur.
@@ -12,6 +14,7 @@ and empty texts are examples of one token, the end token. Repeated rows are pack
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -36,17 +39,20 @@ CACHE = 150_000
 
 
 class Packer:
-    """Places (key, tokens, loss) examples; finished sequences are lists of (key, start, length)."""
+    """Places examples; finished sequences are lists of (key, start, length)."""
 
     def __init__(self, max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS, max_loss: int | None = None, cut: bool = True) -> None:
         self.limits = np.array([max_tokens, max_segments, max_loss or max_tokens], float)
         self.cut = cut
+        #: The unfinished sequence of the last call: key, start, tokens and loss-bearing tokens of each example's end.
+        self.rest: list[tuple[int, int, int, int]] = []
 
-    def pack(self, examples: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
-        """examples: key, tokens, and how many of the last tokens bear loss."""
+    def pack(self, examples: list[tuple[int, int, int]], final: bool = True) -> Iterator[list[tuple[int, int, int]]]:
+        """examples: key, tokens, and how many of the last tokens bear loss. A call that is not final may leave a rest."""
         limit, segments, most = (int(x) for x in self.limits)
         whole = min(limit, most)
         keys, at, left, loss = [], [], [], []
+        self.rest = []
         for key, tokens, bearing in examples:
             start = 0
             if tokens > limit or bearing > most:
@@ -70,6 +76,7 @@ class Packer:
         while stock.any():
             free = self.limits.copy()
             sequence: list[tuple[int, int, int]] = []
+            borne: list[int] = []
             while free.min() > 0 and stock.any():
                 fits = (stock > 0) & (needs[:, 0] <= free[0]) & (needs[:, 1] <= free[2])
                 share = free / self.limits
@@ -80,6 +87,7 @@ class Packer:
                     k = members[kind].pop()
                     stock[kind] -= 1
                     sequence.append((keys[k], at[k], left[k]))
+                    borne.append(loss[k])
                     free -= [needs[kind, 0], 1, needs[kind, 1]]
                     continue
                 if not self.cut:
@@ -94,6 +102,7 @@ class Packer:
                     piece -= int(bearing - free[2])
                     bearing = int(free[2])
                 sequence.append((keys[k], at[k], piece))
+                borne.append(bearing)
                 free -= [piece, 1, bearing]
                 at[k], left[k], loss[k] = at[k] + piece, left[k] - piece, min(loss[k] - bearing, left[k] - piece)
                 if left[k]:
@@ -106,7 +115,11 @@ class Packer:
                         needs, stock = np.vstack([needs, row]), np.append(stock, 1)
                         members.append([k])
             total = sum(n for _, _, n in sequence)
-            if total == limit or not self.cut:
+            if total == limit:
+                yield sequence
+            elif not final and free.min() > 0 and not stock.any():
+                self.rest = [(*piece, b) for piece, b in zip(sequence, borne)]
+            elif not self.cut:
                 yield sequence
             else:
                 yield from powers_of_two(sequence, total)
@@ -136,11 +149,17 @@ _KEPT: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 class WordTokens:
     """Token ids of a text as little-endian 32-bit bytes, equal to the tokenizer's own.
 
-    The tokenizer never joins what white space separates, so each white-space delimited word is tokenised once and kept.
-    A word of letters with marks at its end is two pieces for the tokenizer's model; other words take the tokenizer's
-    whole way. Texts with white space other than the plain kinds, or with a special token's string, go to it whole.
+    A tokenizer of the form NORMALIZER, PRE_TOKENIZER and BPE with word ends never joins what white space separates, so
+    each white-space delimited word is tokenised once and kept. A word of letters with marks at its end is two pieces for
+    the tokenizer's model; other words take the tokenizer's whole way, and so do texts with white space other than the
+    plain kinds or with a special token's string. A tokenizer of any other form is given whole texts.
     """
 
+    # The form of the tokenizer whose words are kept: fixed values.
+    NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+    PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [SPLIT, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
     WHOLE = re.compile(r"<\||[^\S \t\n\r]")
     #: Marks that split off a word as one piece; an apostrophe may start a contraction.
     MARKS = ".,;:!?|*#%&$\"()+-=/"
@@ -152,6 +171,12 @@ class WordTokens:
         self.tokenizer, self.cache = Tokenizer.from_file(path), cache
         self.kept, self.pieces = _KEPT.setdefault(path, ({}, {}))
         self.model = self.tokenizer.model
+        form = json.loads(self.tokenizer.to_str())
+        self.by_word = (
+            (form["normalizer"], form["pre_tokenizer"], form["model"]["type"], form["model"]["end_of_word_suffix"]) == (self.NORMALIZER, self.PRE_TOKENIZER, "BPE", "</w>")
+            and not form["model"]["dropout"]
+            and all(t["content"].startswith("<|") for t in form["added_tokens"])
+        )
         # The byte-level alphabet: printable bytes stand for themselves, the others follow from code point 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = iter(range(256, 512))
@@ -192,7 +217,7 @@ class WordTokens:
         return ids
 
     def __call__(self, text: str) -> bytes:
-        if self.WHOLE.search(text):
+        if not self.by_word or self.WHOLE.search(text):
             return self._encode([text])[0]
         found = text.split()
         parts = list(map(self.kept.get, found))
@@ -210,15 +235,18 @@ def _pack_batches(batches: Iterator[pa.RecordBatch], ids_of: Callable[[], Callab
     encode, packer, end_bytes = ids_of(), make(), struct.pack("<I", end)
     sequence = TaskContext.get().partitionId() << 40
     names = ["id", "start", "length", "ids", "tokens", "sequence_id", "offset"]
+    #: Open examples: id, ids that are left, how many went before, tokens in all, tokens that bear loss.
+    held: list[tuple[int | None, bytes, int, int, int]] = []
 
-    def flush(docs: list[int | None], held: list[bytes], bearing: list[int]) -> Iterator[pa.RecordBatch]:
+    def flush(final: bool) -> Iterator[pa.RecordBatch]:
         nonlocal sequence
         rows: list[list] = [[] for _ in names]
         size = 0
-        for pieces in packer.pack([(k, len(ids) // 4, b) for k, (ids, b) in enumerate(zip(held, bearing))]):
+        for pieces in packer.pack([(k, len(ids) // 4, bearing) for k, (_, ids, _, _, bearing) in enumerate(held)], final):
             offset = 0
             for k, start, length in pieces:
-                for column, value in zip(rows, (docs[k], start, length, held[k][4 * start : 4 * (start + length)], len(held[k]) // 4, sequence, offset)):
+                doc, ids, before, tokens, _ = held[k]
+                for column, value in zip(rows, (doc, before + start, length, ids[4 * start : 4 * (start + length)], tokens, sequence, offset)):
                     column.append(value)
                 offset += length
                 size += 4 * length
@@ -228,29 +256,27 @@ def _pack_batches(batches: Iterator[pa.RecordBatch], ids_of: Callable[[], Callab
                 rows, size = [[] for _ in names], 0
         if rows[0]:
             yield record(rows)
+        # Nothing in an unfinished sequence is cut at its end: an example that is cut fills its sequence.
+        held[:] = [(held[k][0], held[k][1][4 * start :], held[k][2] + start, held[k][3], bearing) for k, start, _, bearing in packer.rest]
 
     def record(rows: list[list]) -> pa.RecordBatch:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)], names)
 
-    docs: list[int | None] = []
-    held: list[bytes] = []
-    bearing: list[int] = []
     size = 0
     for batch in batches:
         texts = batch.column(1)
         for k, doc in enumerate(batch.column(0).to_pylist()):
-            ids = encode(texts[k].as_py() or "")
+            ids = encode(texts[k].as_py() or "") + end_bytes
             prompt = len(encode(batch.column(2)[k].as_py() or "")) // 4 if prompts else 0
-            docs.append(doc)
-            held.append(ids + end_bytes)
-            bearing.append(max(1, len(held[-1]) // 4 - prompt))
+            tokens = len(ids) // 4
+            held.append((doc, ids, 0, tokens, max(1, tokens - prompt)))
             size += len(ids)
-            if len(docs) >= window or size > 64 << 20:
-                yield from flush(docs, held, bearing)
-                docs, held, bearing, size = [], [], [], 0
-    if docs:
-        yield from flush(docs, held, bearing)
+            if len(held) >= window or size > 64 << 20:
+                yield from flush(False)
+                size = 0
+    if held:
+        yield from flush(True)
 
 
 def pack(
