@@ -83,3 +83,47 @@ def test_warc_records_follow_the_standard():
     assert fields["warc-refers-to"] == f"<urn:uuid:{ar.record_id(12, digest)}>"
     assert next(ar.parse_warc(ar.to_warc(1, digest, "dns:a", "-", "1997", "text/dns", False, b"hi")))[0]["warc-type"] == "resource"
     assert len(hashlib.sha1(b"").digest()) == 20
+
+
+def test_damaged_records_cost_themselves_alone(spark, tmp_path):
+    """Bad lines, lengths and keys in the midst of good records."""
+    ok = lambda k: b"HTTP/1.1 200 OK\r\nX-Archive-Key: %d\r\n\r\npage %d" % (k, k)
+    record = lambda url, body, length=None: b"%s 10.0.0.1 19990102030405 text/html %d\n" % (url, len(body) if length is None else length) + body + b"\n"
+    odd = b"HTTP/1.1 200 OK\r\nX-Archive-Key: 12 monkeys\r\n\r\nodd"
+    huge = b"HTTP/1.1 200 OK\r\nX-Archive-Key: 99999999999999999999\r\n\r\nhuge"
+    parts = [
+        V1, record(b"http://a/", ok(1)), b"no header at all\nhttp://x/ 10.0.0.1 yesterday text/html many\n\xff\xfe\n", record(b"http://b b/", ok(2)), record(b"http://odd/", odd),
+        record(b"http://short/", ok(3), 10), record(b"http://c/", ok(4)), record(b"http://huge/", huge), b"http://d/ 10.0.0.1 19990102030405 text/html 4 4x\n", record(b"http://\xff/", ok(5)), record(b"http://cut/", ok(6), 5000),
+    ]
+    data = b"".join(parts)
+    found = list(ar.parse_arc(data))
+    assert [r["URL"] for r in found if not r["URL"].startswith("urn:arc")] == ["http://a/", "http://b b/", "http://odd/", "http://short/", "http://c/", "http://huge/", "http://\ufffd/", "http://cut/"]
+    damaged = [r["content"] for r in found if r["URL"].startswith("urn:arc")]
+    assert damaged[0] == parts[2] and damaged[2] == parts[8] and len(damaged) == 3 and ok(3).endswith(damaged[1].rstrip(b"\n"))
+    assert all(list(ar.parse_arc(x)) is not None for x in (b"", b"\n\n", b"\0", b"filedesc:", b"filedesc://x 0 0 t 9\nx 0 y\nbad\n"))
+    folder = tmp_path / "arc"
+    folder.mkdir()
+    (folder / "one.arc").write_bytes(data)
+    (folder / "two.arc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+    ar.convert(spark, str(folder), str(tmp_path / "warc"))
+    rows = ar.read_warc(spark, str(tmp_path / "warc")).collect()
+    assert len(rows) == 22
+    assert sorted(r["page_id"] for r in rows if r["page_id"] is not None) == sorted([1, 2, 4, 5, 6] * 2)
+    assert sorted(bytes(r["payload"]) for r in rows if r["record_type"] == "resource").count(parts[2]) >= 1
+
+
+def test_other_readers_open_the_files(spark, pages, tmp_path):
+    """The files are plain gzip: other programs read each record, and may find them by an archive's extension."""
+    import shutil
+    import subprocess
+
+    warc = convert(spark, pages[1], tmp_path)
+    ar.rename_files(spark, warc, ".warc.gz")
+    names = list((tmp_path / "warc").glob("*.warc.gz"))
+    assert names and ar.read_warc(spark, warc).count() == len(pages[0])
+    for name in names:
+        with gzip.open(name) as file:
+            data = file.read()
+        assert data.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n")
+        if shutil.which("gzip"):
+            assert subprocess.run(["gzip", "-dcq"], input=name.read_bytes(), capture_output=True).stdout == data

@@ -13,7 +13,11 @@ of all records share is aggregated on the map side and its join is split by Spar
 A record's key is the number in its HTTP header X-Archive-Key; records without one get a negative key made of archive and
 offset. Of equal payloads the record with the largest key is the response, records with the same key are all responses.
 Null payloads are empty; null URLs become `urn:page:` and the key; white space in URLs is percent-encoded. A record that
-ends before its declared length is marked WARC-Truncated. Empty tables give folders without records. Extra columns are
+ends before its declared length is marked WARC-Truncated. Lines where a header line should be, up to the next one that has
+the fields of its version, a numeric date and a numeric length, become one resource record of type
+application/octet-stream, marked WARC-Truncated too: a damaged record costs itself and no more. An X-Archive-Key that is
+no 64-bit number is as good as none. Files are named as the sink names them; rename_files() gives them an archive's
+extension where a reader needs it. Empty tables give folders without records. Extra columns are
 ignored.
 """
 
@@ -23,6 +27,7 @@ import base64
 import gzip
 import hashlib
 import io
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -45,6 +50,8 @@ ARC_FIELDS = {
     1: ["URL", "IP-address", "Archive-date", "Content-type", "Archive-length"],
     2: ["URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename", "Archive-length"],
 }
+#: Fields of a record without a header line, and of those that a header lacks.
+DAMAGED = {"URL": "urn:arc:unknown", "IP-address": "-", "Archive-date": "", "Content-type": "application/octet-stream"}
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -81,27 +88,54 @@ def arc_record(version: int, name: str, offset: int, url: str, ip: str, date: st
     return f"{url} {ip} {date} {mime}{middle} {len(content)}\n".encode() + content + b"\n"
 
 
+def _header(line: bytes, fields: list[str]) -> list[bytes] | None:
+    """The values of a header line, if it has all fields, a numeric date and a numeric length."""
+    values = line.strip(b"\r").split(b" ") if line.startswith(b"filedesc:") else line.strip(b"\r").rsplit(b" ", len(fields) - 1)
+    if len(values) < 2 or not values[-1].isdigit() or len(values[-1]) > 18:
+        return None
+    if not line.startswith(b"filedesc:") and (len(values) != len(fields) or "Archive-date" in fields and not values[fields.index("Archive-date")].isdigit()):
+        return None
+    return values
+
+
 def parse_arc(data: bytes) -> Iterator[dict]:
-    """Records as dicts of their header fields, content, offset and truncated; the version block is not among them."""
+    """Records as dicts of their header fields, content, offset and truncated; the version block is not among them.
+
+    Lines that are no header are a record of their own, with DAMAGED for its fields.
+    """
     data = opened(data)
     fields, at = ARC_FIELDS[1], 0
+    damage = -1
+
+    def damaged(end: int) -> Iterator[dict]:
+        if damage >= 0 and data[damage:end].strip(b"\0\r\n "):
+            yield DAMAGED | {"URL": f"urn:arc:damaged:{damage}", "content": data[damage:end], "offset": damage, "truncated": True}
+
     while at < len(data):
         end = data.find(b"\n", at)
         end = len(data) if end < 0 else end
-        line = data[at:end].strip()
-        if not line.strip(b"\0"):
+        line = data[at:end]
+        if not line.strip(b"\0\r "):
             at = end + 1
             continue
-        values = line.split(b" ") if line.startswith(b"filedesc:") else line.rsplit(b" ", len(fields) - 1)
+        values = _header(line, fields)
+        if values is None:
+            damage = at if damage < 0 else damage
+            at = end + 1
+            continue
+        yield from damaged(at)
+        damage = -1
         length = int(values[-1])
         content = data[end + 1 : end + 1 + length]
         if values[0].startswith(b"filedesc:"):
             lines = content.split(b"\n")
-            version = int(lines[0].split(b" ")[0])
-            fields = lines[1].decode().split() if len(lines) > 1 and lines[1].strip() else ARC_FIELDS[version]
+            version = lines[0].split(b" ")[0]
+            named = lines[1].decode(errors="replace").split() if len(lines) > 1 else []
+            fields = named if named and named[-1] == "Archive-length" else ARC_FIELDS.get(int(version) if version.isdigit() else 1, ARC_FIELDS[1])
         else:
-            yield dict(zip(fields, (v.decode() for v in values))) | {"content": content, "offset": at, "truncated": len(content) < length}
+            yield DAMAGED | dict(zip(fields, (v.decode(errors="replace") for v in values))) | {"content": content, "offset": at, "truncated": len(content) < length}
         at = end + 1 + length
+    yield from damaged(len(data))
 
 
 def _date(key: int) -> str:
@@ -144,6 +178,17 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
+def rename_files(spark: SparkSession, path: str, extension: str) -> None:
+    """Give the files of a folder another extension, as .warc.gz, in the store itself; one call to it for each file."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.listStatus(folder):
+        name = status.getPath().getName()
+        if name.endswith(".txt"):
+            store.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(folder, name.removesuffix(".txt") + extension))
+
+
 def write_arc(pages: DataFrame, path: str, key_col: str = "page_id", url_col: str = "url", payload_col: str = "html", segment: int = SEGMENT, level: int = LEVEL) -> None:
     """Pages as ARC files, version 1 and 2 in turn."""
     columns = [F.col(key_col).cast("bigint").alias("key"), F.col(url_col).cast("string").alias("url"), F.col(payload_col).alias("payload")]
@@ -171,9 +216,17 @@ def http_field(head: bytes, name: bytes) -> str | None:
     return None
 
 
+def named_key(head: bytes) -> int | None:
+    """The number in X-Archive-Key, if there is one of 64 bits."""
+    named = http_field(head, b"x-archive-key") or ""
+    if not re.fullmatch("-?[0-9]{1,19}", named) or not -(1 << 63) <= int(named) < 1 << 63:
+        return None
+    return int(named)
+
+
 def record_key(head: bytes, archive: str, offset: int) -> int:
-    named = http_field(head, b"x-archive-key")
-    return int(named) if named else -1 - (xxhash.xxh64_intdigest(f"{archive}@{offset}") >> 1)
+    named = named_key(head)
+    return named if named is not None else -1 - (xxhash.xxh64_intdigest(f"{archive}@{offset}") >> 1)
 
 
 def record_id(key: int, digest: str) -> str:
@@ -228,6 +281,8 @@ def warc_record(fields: list[tuple[str, str]], block: bytes) -> bytes:
 
 
 def iso_date(date: str) -> str:
+    """An ISO timestamp of the digits of an archive date; what they lack is that of the year's first second."""
+    date = date if len(date) >= 4 else "1970"
     date = (date + "00000101000000"[len(date) :])[:14]
     return f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:]}Z"
 
@@ -321,7 +376,6 @@ def _record_batches(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterat
                     continue
                 head, payload, _ = split_http(block)
                 key = key_of(fields["warc-record-id"].strip("<>").removeprefix("urn:uuid:"))
-                named = http_field(head, b"x-archive-key")
                 digest = fields["warc-payload-digest"].removeprefix("sha1:")
                 if kind != "revisit":
                     size_of = len(payload)
@@ -330,7 +384,7 @@ def _record_batches(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterat
                 else:
                     size_of = int(fields.get("x-payload-bytes") or http_field(head, b"content-length") or 0)
                 refers = key_of(fields["warc-refers-to"].strip("<>").removeprefix("urn:uuid:")) if kind == "revisit" else None
-                rows.append((int(named) if named else None, fields["warc-record-id"], kind, fields.get("warc-target-uri"), fields.get("warc-date"), size_of, digest, refers, payload if payloads and kind != "revisit" else None))
+                rows.append((named_key(head), fields["warc-record-id"], kind, fields.get("warc-target-uri"), fields.get("warc-date"), size_of, digest, refers, payload if payloads and kind != "revisit" else None))
                 size += 200 + (len(payload) if payloads else 0)
                 if size > _BATCH:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
