@@ -96,9 +96,13 @@ def test_edge_cases(request, which, empty):
 
 
 def test_templates_of_a_table(spark):
-    table = spark.createDataFrame([("own", "a very own license text of mine"), (None, "x y"), ("none", None)], "license string, text string")
-    templates = li.load_templates(table)
-    docs = spark.createDataFrame([(1, "A VERY own license, text of mine!")], "doc_id long, text string")
-    assert li.scan(docs, templates).first()["found"][0]["license"] == "own"
-    with pytest.raises(ValueError):
-        li.load_templates(table, max_bytes=3)
+    """In one block or in many, with nulls, shared names, repeated rows and null ids, the matches are the same."""
+    rows = [("own", "a very own license text of mine"), (None, "x y"), ("none", None), ("other", "another license altogether it is"), ("own", "this is the second text of that name"), ("empty", "")]
+    table = spark.createDataFrame(rows, "license string, text string").coalesce(1)
+    texts = [(1, "A VERY own license, text of mine!"), (2, "nothing"), (None, "x\nthis is the second text of that name"), (3, "another license altogether it is\na very own license text of mine"), (3, "another license altogether it is\na very own license text of mine"), (4, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    want = [(1, ["own:0:1"]), (2, []), (3, ["other:0:1", "own:1:2"]), (3, ["other:0:1", "own:1:2"]), (4, []), (None, ["own:1:2"])]
+    for size in (1, 40, 4 << 20):
+        found = [(r["doc_id"], [f"{m['license']}:{m['first_line']}:{m['end_line']}" for m in r["found"]]) for r in li.scan_table(docs, table, block_bytes=size).collect()]
+        assert sorted(found, key=str) == sorted(want, key=str)
+    assert li.scan_table(docs, table.limit(0)).where("size(found) > 0").count() == 0

@@ -8,8 +8,8 @@ first. Sizes bound the coefficient: a passage of m distinct bigrams and a templa
 (2 - t) and n (2 - t) / t, and a text that holds fewer than n t / (2 - t) of a template's bigrams cannot match it at all,
 which leaves most texts without a candidate template after one look at their bigrams.
 
-Templates are sent to the executors as they are; load_templates() refuses more than MAX_TEMPLATE_BYTES of them. Null and
-empty texts, and those without a match, have no license. Repeated rows are repeated in the result. Extra columns are
+Templates are sent to the executors as they are. A table of more than BLOCK_BYTES of them is read in blocks by
+scan_table(): each block is a pass over the texts, and a text's matches of all blocks are united. Null and empty texts, and those without a match, have no license. Repeated rows are repeated in the result. Extra columns are
 ignored. Texts are scanned whole, however long.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-THRESHOLD, MAX_TEMPLATE_BYTES = 0.8, 4 << 20
+THRESHOLD, BLOCK_BYTES = 0.8, 4 << 20
 _WORD = re.compile(r"[^\W_]+")
 
 _MIT = (
@@ -155,12 +155,19 @@ class Scanner:
         return best
 
 
-def load_templates(templates: DataFrame, max_bytes: int = MAX_TEMPLATE_BYTES) -> dict[str, str]:
-    """Templates (license, text) as a dict, if they are small enough to send."""
-    size = templates.selectExpr("coalesce(sum(octet_length(text)), 0) AS n").first()["n"]
-    if size > max_bytes:
-        raise ValueError(f"templates of {size} bytes; at most {max_bytes} are sent to the executors")
-    return {r["license"]: r["text"] for r in templates.where("license is not null and text is not null").select("license", "text").collect()}
+def blocks(templates: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[dict[str, str]]:
+    """Templates (license, text) in blocks of bounded size; a larger one is a block of its own, rows with a null are left out."""
+    block: dict[str, str] = {}
+    size = 0
+    frame = templates.select(F.col("license").cast("string").alias("license"), F.col("text").cast("string").alias("text"))
+    for row in frame.where("license is not null and text is not null").toLocalIterator():
+        n = len(row["text"].encode())
+        if block and (size + n > block_bytes or row["license"] in block):
+            yield block
+            block, size = {}, 0
+        block[row["license"]] = row["text"]
+        size += n
+    yield block
 
 
 FOUND = "doc_id bigint, found array<struct<license:string,dice:double,first_line:bigint,end_line:bigint>>"
@@ -181,6 +188,26 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
     return common.map_batches(docs, [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")], step, FOUND)
 
 
+def scan_table(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """scan() with a table of templates (license, text) of any size; of templates that share a name the best match counts."""
+    left = blocks(templates, block_bytes)
+    first, more = next(left), next(left, None)
+    if more is None:
+        return scan(docs, first, id_col, text_col, threshold)
+    rows = common.stored(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("row")), "rows")
+    path = common.scratch(docs.sparkSession, "licenses")
+    block: dict[str, str] | None = first
+    while block is not None:
+        scan(rows, block, "row", "text", threshold).where(F.size("found") > 0).write.mode("append").parquet(path)
+        block, more = more, next(left, None) if more is not None else None
+    best = docs.sparkSession.read.schema(FOUND).parquet(path).select("doc_id", F.explode("found").alias("m"))
+    best = best.groupBy("doc_id", "m.license").agg(F.min(F.struct((-F.col("m.dice")).alias("d"), (F.col("m.end_line") - F.col("m.first_line")).alias("n"), F.col("m.first_line").alias("a"), F.col("m.end_line").alias("b"))).alias("x"))
+    ranked = F.array_sort(F.collect_list(F.struct("x.d", "license", "x.a", "x.b")))
+    found = F.transform(ranked, lambda m: F.struct(m["license"].alias("license"), (-m["d"]).alias("dice"), m["a"].alias("first_line"), m["b"].alias("end_line")))
+    united = best.groupBy(F.col("doc_id").alias("row")).agg(found.alias("found"))
+    return rows.join(united, "row", "left").select("doc_id", F.coalesce("found", F.array().cast(FOUND.partition(", found ")[2])).alias("found"))
+
+
 def op7_licenses(spark, sf_dir: str) -> DataFrame:
     found = scan(common.table(spark, sf_dir, "documents"))
     best = F.get("found", F.lit(0))
