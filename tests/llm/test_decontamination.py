@@ -50,9 +50,29 @@ def test_brute_force(corpus):
     assert found(dc.decontaminate(d, b, window=3)) == expected(docs, [i for i in items if i[0] is not None], 3)
 
 
-def test_blocks_are_united(corpus):
+@pytest.mark.parametrize("block_bytes", [40, 1])
+def test_blocks_are_united_over_one_index(corpus, monkeypatch, block_bytes):
+    """Many blocks, one pass over the corpus."""
     docs, items, d, b = corpus
-    assert found(dc.decontaminate(d, b, block_bytes=40)) == expected(docs, [i for i in items if i[0] is not None])
+    built, searched = [], []
+    build, search = dc.build_index, dc.search
+    monkeypatch.setattr(dc, "build_index", lambda *a, **k: built.append(1) or build(*a, **k))
+    monkeypatch.setattr(dc, "search", lambda *a, **k: searched.append(1) or search(*a, **k))
+    assert found(dc.decontaminate(d, b, block_bytes=block_bytes, shard_bytes=300)) == expected(docs, [i for i in items if i[0] is not None])
+    assert len(built) == 1 and len(searched) > 3
+
+
+def test_bitmap_holds_every_test_word(spark):
+    """A small bitmap posts more words, and the result is the same."""
+    r = random.Random(8)
+    docs = [(k, " ".join(f"w{r.randint(0, 300)}" for _ in range(30))) for k in range(40)]
+    items = [(k, " ".join(docs[3 * k][1].split()[5:17])) for k in range(10)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for bits in (6, 8, 24):
+        bitmap = dc.vocabulary(b, slot_bits=bits)
+        assert len(bitmap) == 1 << bits >> 6
+        index = dc.build_index(d, bitmap)
+        assert found(dc.search(index, dc.Queries([(str(i), t.encode()) for i, t in items]))) == expected(docs, items)
 
 
 def test_edge_cases(nasty, clashing, empty, spark):
