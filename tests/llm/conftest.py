@@ -44,5 +44,6 @@ def empty(spark):
 @pytest.fixture(scope="session")
 def clashing(nasty):
     """The same rows with columns whose names the operators use themselves."""
-    extra = ("fp", "first", "hash", "row", "key", "n", "u", "v", "bucket", "copy", "place", "term", "df", "score", "label", "drops", "_drops0", "id", "items", "tokens")
+    extra = ("fp", "first", "hash", "row", "key", "n", "u", "v", "bucket", "copy", "place", "term", "df", "score", "label", "drops", "_drops0", "id", "items", "tokens",
+             "kept_text", "n_lines", "n_dropped", "_drops", "_text", "_doc", "_row", "places", "statistics", "_statistics", "_pipeline_row", "_hash_of", "fingerprint", "hits", "a.b")
     return nasty.select("*", *[F.lit(k).alias(c) for k, c in enumerate(extra)])

@@ -1,14 +1,15 @@
 """Line dedup over all documents.
 
-Lines are exploded with a 128-bit hash of their key (both ends stripped of ASCII white space, A-Z lower-cased); the
-smallest and largest doc_id of each hash tell whether at least two documents hold it; documents other than the smallest
-then lose those lines, and the rest is joined again in order. A hash occurs once per document before the shuffle and is
-aggregated on the map side, so a line that a third of all documents share is one row a task; Spark splits its join.
+Rows are numbered and stored. Their lines are exploded with a 128-bit hash of their key (both ends stripped of ASCII white
+space, A-Z lower-cased) and their positions; the smallest and largest doc_id of each hash tell whether at least two
+documents hold it; rows of documents other than the smallest then lose the lines at those positions, and the others are
+joined again in order of their positions. A hash occurs once per row before the shuffle and is aggregated on the map side,
+so a line that a third of all documents share is one row a task; Spark splits its join.
 
 With min_docs above 2 distinct documents are counted. Keys shorter than min_chars code points stay. Null and empty texts
-are one empty line. Rows with the same doc_id count as one document, and each is cleaned. Rows with a null doc_id count as
-no document: their lines stay and make no other line go. Extra columns stay; a column named kept_text, n_lines or
-n_dropped must be renamed first.
+are one empty line. Rows with the same doc_id count as one document, and each is cleaned for itself. Rows with a null
+doc_id count as no document: their lines stay and make no other line go. Extra columns stay, whatever their names; one
+that has the name of a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -38,54 +39,65 @@ def _hash(key: bytes, min_chars: int) -> bytes | None:
     return xxhash.xxh3_128_digest(key)
 
 
-def _hash_batches(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
+def _line_batches(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
+    """Rows (row, doc_id, text); a row per distinct line key, with its hash and the positions of its lines."""
     for batch in common.sliced(batches):
-        ids, hashes = [], []
-        for doc, text in zip(batch.column(0).to_pylist(), common.utf8(batch.column(1))):
-            own = {h for line in text.split(b"\n") if (h := _hash(line_key(line), min_chars))}
-            ids += [doc] * len(own)
-            hashes += own
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.binary())], ["doc_id", "hash"])
-
-
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, hash) of every line that the document has to give up."""
-    frame = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
-    lines = frame.mapInArrow(lambda batches: _hash_batches(batches, min_chars), "doc_id bigint, hash binary")
+        rows, docs, hashes, places = [], [], [], []
+        for row, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.utf8(batch.column(2))):
+            own: dict[bytes, list[int]] = {}
+            for at, line in enumerate(text.split(b"\n")):
+                if h := _hash(line_key(line), min_chars):
+                    own.setdefault(h, []).append(at)
+            rows += [row] * len(own)
+            docs += [doc] * len(own)
+            hashes += own.keys()
+            places += own.values()
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(docs, pa.int64()), pa.array(hashes, pa.binary()), pa.array(places, pa.list_(pa.int32()))], ["row", "doc_id", "hash", "places"])
+
+
+def dropped_lines(rows: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(row, places) of the lines that each of the stored rows (row, doc_id, text) has to give up, if any."""
+    lines = rows.where("doc_id is not null").mapInArrow(lambda batches: _line_batches(batches, min_chars), "row bigint, doc_id bigint, hash binary, places array<int>")
     if min_docs <= 2:
         held = lines.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     else:
-        held = lines.distinct().groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
+        held = lines.select("doc_id", "hash").distinct().groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
     # Stored, both sides of the join are dealt out for it alone, and Spark can split a hot line's share of the lines.
     held = common.stored(held.select("hash", "first"), "repeated")
-    return lines.join(held, "hash").where("doc_id > first").select("doc_id", "hash")
+    return lines.join(held, "hash").where("doc_id > first").groupBy("row").agg(F.flatten(F.collect_list("places")).alias("places"))
 
 
-def _keep_batches(batches: Iterator[pa.RecordBatch], names: list[str], min_chars: int) -> Iterator[pa.RecordBatch]:
-    """Rows of other columns, text and drops; the text becomes the kept text, the drops the two counts."""
+def _keep_batches(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of other columns, text and places; the text becomes the kept text, the places the two counts."""
     for batch in common.sliced(batches):
         *others, texts, dropped = batch.columns
         kept, n_lines, n_dropped = [], [], []
-        for text, drops in zip(common.utf8(texts), dropped):
-            lines = text.split(b"\n")
-            stay = lines
-            if drops.is_valid and len(drops):
-                gone = set(drops.as_py())
-                stay = [x for x in lines if _hash(line_key(x), min_chars) not in gone]
-            kept.append(b"\n".join(stay))
-            n_lines.append(len(lines))
-            n_dropped.append(len(lines) - len(stay))
+        for text, places in zip(common.utf8(texts), dropped):
+            if places.is_valid:
+                gone, lines = set(places.as_py()), text.split(b"\n")
+                kept.append(b"\n".join([line for at, line in enumerate(lines) if at not in gone]))
+                n_lines.append(len(lines))
+                n_dropped.append(len(gone))
+            else:
+                kept.append(text)
+                n_lines.append(text.count(b"\n") + 1)
+                n_dropped.append(0)
         yield pa.RecordBatch.from_arrays([*others, pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """The rows with all their columns but text_col, then kept_text, n_lines and n_dropped."""
-    drops = repeated_lines(docs, id_col, text_col, min_chars, min_docs).groupBy("doc_id").agg(F.collect_set("hash").alias("_drops")).withColumnRenamed("doc_id", "_doc")
-    others = [c for c in docs.columns if c != text_col]
-    joined = docs.join(drops, F.col(id_col).cast("bigint") == F.col("_doc"), "left").select(*others, F.col(text_col).cast("string").alias("_text"), "_drops")
-    out = T.StructType([*(docs.schema[c] for c in others), *(T.StructField(n, t) for n, t in (("kept_text", T.StringType()), ("n_lines", T.LongType()), ("n_dropped", T.LongType())))])
-    names = out.names
-    return joined.mapInArrow(lambda batches: _keep_batches(batches, names, min_chars), out)
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, out: tuple[str, str, str] = ("kept_text", "n_lines", "n_dropped")) -> DataFrame:
+    """The rows with all their columns but text_col, then the three of out: the kept text, lines, dropped lines."""
+    row, text, places = common.fresh(docs, "row", "text", "places")
+    others = [c for c in docs.columns if c.lower() not in {text_col.lower(), *(x.lower() for x in out)}]
+    own = [F.col(f"`{c}`") for c in others]
+    numbered = docs.select(*own, F.col(text_col).cast("string").alias(text), F.col(id_col).cast("bigint").alias(places), F.monotonically_increasing_id().alias(row))
+    rows = common.stored(numbered, "rows")
+    drops = dropped_lines(rows.select(F.col(row).alias("row"), F.col(places).alias("doc_id"), F.col(text).alias("text")), min_chars, min_docs)
+    joined = rows.drop(places).join(drops.select(F.col("row").alias(row), F.col("places").alias(places)), row, "left")
+    # Plain names, as mapInArrow takes no column whose name has a dot.
+    joined = joined.select(*[c.alias(f"c{k}") for k, c in enumerate([*own, F.col(text), F.col(places)])])
+    schema = T.StructType([*(docs.schema[c] for c in others), *(T.StructField(n, t) for n, t in zip(out, (T.StringType(), T.LongType(), T.LongType())))])
+    return joined.mapInArrow(lambda batches: _keep_batches(batches, schema.names), schema)
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:
