@@ -115,3 +115,42 @@ def test_arrivals_give_the_batch_result(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).select("s1", "cand", "p").collect()
     batch = linkage.link(s1, files.read_records(spark, str(tmp_path / "in" / "a.tsv"))).scored.select("s1", "cand", "p").collect()
     assert sorted(got) == sorted(batch) and {r["cand"] for r in got} == {"S2-1"}
+
+
+def test_only_the_first_line_of_a_file_is_its_header(spark, tmp_path):
+    from tributary.operators import validate
+
+    folder = tmp_path / "lists"
+    folder.mkdir()
+    (folder / "part-0.tsv").write_text("a\tb\nS1-1\tS2-1\na\tb\n")
+    (folder / "part-1.tsv").write_text("S1-2\tS2-1\nS1-2\tS2-1\nS1-2\tS2-1\n")
+    everyone = spark.createDataFrame([("S1-1",), ("S1-2",)], "s1 string")
+    rules = {r["rule"]: r["n"] for r in validate.id_list_file(spark, str(folder), ("a", "b"), everyone).collect()}
+    # The second header row is a row like any other; the file without a header keeps all rows but its first.
+    assert (rules["header"], rules["duplicate_s1"], rules["extra_s1"], rules["missing_s1"], rules["wrong_prefix"]) == (1, 1, 1, 0, 1)
+
+
+def test_outer_spaces_and_quotes_are_kept(spark, tmp_path):
+    rows = [(" S2-1 ", 'a "quoted" name ', " 1 road", "US"), ("S2-2", "it's", "", "")]
+    files.write_tsv(spark.createDataFrame(rows, files.RECORD), str(tmp_path / "r"))
+    assert sorted(tuple(r) for r in files.read_records(spark, str(tmp_path / "r")).collect()) == sorted(rows)
+
+
+def test_a_ledger_in_the_store(spark, tmp_path):
+    ledger = files.Ledger(f"file://{tmp_path}/deep/runs.json", spark)
+    assert ledger.runs() == []
+    for name in ("a", "b", "a"):
+        files.Run(ledger, name, run_id=name).end()
+    assert [r["run_id"] for r in ledger.runs()] == ["b", "a"] and ledger.frame(spark).count() == 2
+
+
+def test_a_large_package_streams(spark, tmp_path):
+    import os
+
+    (tmp_path / "in").mkdir()
+    parts = [os.urandom(700_000) for _ in range(3)]
+    for k, part in enumerate(parts):
+        (tmp_path / "in" / f"part-{k}").write_bytes(part)
+    files.zip_files(spark, {"data.bin": str(tmp_path / "in")}, str(tmp_path / "p.zip"))
+    with zipfile.ZipFile(tmp_path / "p.zip") as found:
+        assert found.testzip() is None and found.read("data.bin") == b"".join(parts)

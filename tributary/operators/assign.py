@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions import text
+from tributary.sources import storage
 
 TAU_SINGLETON, TAU_SECONDARY, MAX_MATCHES = 0.74, 0.60, 15
 #: Column names that stand for each role, whatever their case.
@@ -15,6 +16,7 @@ ALIASES = {
     "p": ("p", "p_final", "prob", "probability", "score"),
     "country": ("country",),
 }
+MATCHES = "s1 string, cand string, p double, rank int"
 #: Primary and secondary thresholds of the competitive assignment. Fixed values.
 COMPETITIVE = {"France": (0.52, 0.58), "India": (0.46, 0.52), "US": (0.55, 0.60)}
 
@@ -60,41 +62,34 @@ def match_lists(matches: DataFrame, universe: DataFrame) -> DataFrame:
     return universe.select("s1").distinct().join(lists, "s1", "left").select(F.col("s1").alias("source1_entity_id"), F.coalesce(F.array_join(F.array_distinct(F.transform("x", lambda r: r["cand"])), ","), F.lit("")).alias("matched_entity_ids"))
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The frame written to the checkpoint folder (one in the warehouse where none is set), computed once."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
-    held = df.persist()
-    try:
-        return held.checkpoint()
-    finally:
-        held.unpersist()
-
-
-def competitive(pairs: DataFrame, thresholds: DataFrame | dict[str, tuple[float, float]] | None = None, max_matches: int = MAX_MATCHES, cut=written, max_rounds: int = 1000) -> DataFrame:
+def competitive(pairs: DataFrame, thresholds: DataFrame | dict[str, tuple[float, float]] | None = None, max_matches: int = MAX_MATCHES) -> DataFrame:
     """(s1, cand, p, rank): pairs by falling score, each candidate once, at most max_matches a record, further matches of a
     record only from the secondary threshold on.
 
     Equal to the sequential pass in the order (-p, s1, cand). Each round accepts the pairs that are first both for their
-    record and for their candidate; what they rule out goes, and the rest decides again. A round is one written frame.
+    record and for their candidate; what they rule out goes, and the rest decides again, until nothing is left. A round is
+    written once, the one before it is removed, and matches are added to one table, so neither plans nor disk grow with
+    the rounds.
     """
     spark = pairs.sparkSession
     limits = COMPETITIVE if thresholds is None else thresholds
     if isinstance(limits, dict):
         limits = spark.createDataFrame([(c, float(a), float(b)) for c, (a, b) in limits.items()] or [], "country string, primary double, secondary double")
     live = scored_pairs(pairs).where(is_candidate(F.col("cand"), False)).dropDuplicates(["s1", "cand"]).join(limits, "country").where("p >= primary").select("s1", "cand", "p", "secondary", F.lit(0).alias("held"))
-    done = None
+    matches, before = storage.scratch(spark, "matches"), None
     order = (F.desc("p"), "s1", "cand")
-    for _ in range(max_rounds):
+    while True:
         first = F.row_number().over(Window.partitionBy("s1").orderBy(*order)) + F.row_number().over(Window.partitionBy("cand").orderBy(*order)) == 2
-        marked = cut(live.withColumn("won", first))
-        won = marked.where("won").select("s1", "cand", "p", (F.col("held") + 1).alias("rank"))
+        path = storage.scratch(spark, "round")
+        live.withColumn("won", first).write.parquet(path)
+        marked = spark.read.parquet(path)
+        won = marked.where("won").select("s1", "cand", "p", (F.col("held") + 1).cast("int").alias("rank"))
+        won.write.mode("append").parquet(matches)
+        if before:
+            storage.remove(spark, before)
+        before = path
         if marked.isEmpty():
-            break
-        done = won if done is None else done.unionByName(won)
+            storage.remove(spark, path)
+            return spark.read.schema(MATCHES).parquet(matches)
         left = marked.where("NOT won").drop("won").join(won.select("cand"), "cand", "left_anti").join(won.select("s1", "rank"), "s1", "left").withColumn("held", F.coalesce("rank", "held")).drop("rank")
         live = left.where((F.col("held") < max_matches) & ((F.col("held") == 0) | (F.col("p") >= F.col("secondary"))))
-    else:
-        raise RuntimeError(f"no end after {max_rounds} rounds")
-    return spark.createDataFrame([], "s1 string, cand string, p double, rank int") if done is None else done

@@ -59,22 +59,41 @@ def _terms(records: DataFrame, grams: Column, words: Column, id_name: str) -> Da
     return records.select(F.col("entity_id").alias(id_name), "country", F.explode(both).alias("x")).select(id_name, "country", "x.kind", "x.term")
 
 
-def _overlap(s1: DataFrame, targets: DataFrame, ceiling: int, words: Column, grams: Column) -> DataFrame:
-    """Summed weights of shared terms; a term's weight falls with the number of records of its country that hold it."""
+def _weights(targets: DataFrame, postings: DataFrame, ceiling: int) -> DataFrame:
+    """(country, kind, term, weight) of the terms that at most `ceiling` records of their country hold."""
     sizes = targets.groupBy("country").agg(F.count("*").alias("n_records"))
-    postings = _terms(targets, grams, words, "cand")
     frequencies = postings.groupBy("country", "kind", "term").agg(F.count("*").alias("df")).where(F.col("df") <= ceiling)
     idf = F.log((F.col("n_records") + 1) / (F.col("df") + 1)) + 1
     weight = F.when(F.col("kind") == "word", F.lit(TOKEN_WEIGHT)).otherwise(F.lit(GRAM_WEIGHT)) * idf
-    weights = frequencies.join(sizes, "country").select("country", "kind", "term", weight.alias("weight"))
+    return frequencies.join(sizes, "country").select("country", "kind", "term", weight.alias("weight"))
+
+
+def _overlap(s1: DataFrame, targets: DataFrame, ceiling: int, words: Column, grams: Column, weights: DataFrame | None = None) -> DataFrame:
+    """Summed weights of shared terms; a term's weight falls with the number of records of its country that hold it.
+
+    Given weights are those of a reference: terms that it does not weigh, as they are too frequent or unknown there, do
+    not count.
+    """
+    postings = _terms(targets, grams, words, "cand")
+    weights = _weights(targets, postings, ceiling) if weights is None else weights
     asked = _terms(s1, grams, words, "s1").join(weights, ["country", "kind", "term"])
     return asked.join(postings, ["country", "kind", "term"]).groupBy("s1", "cand").agg(F.sum("weight").alias("score"))
 
 
-def tier2(s1: DataFrame, targets: DataFrame, k: int = TIER_TOP, max_postings: int = POSTING_CEILING) -> DataFrame:
+def _tier2_terms() -> tuple[Column, Column]:
+    return text.tokens(F.concat_ws(" ", "name", "address")), text.char_ngrams(F.col("name"))
+
+
+def term_weights(targets: DataFrame, max_postings: int = POSTING_CEILING) -> DataFrame:
+    """The weights of tier 2's terms by their frequencies in prepared targets."""
+    words, grams = _tier2_terms()
+    return _weights(targets, _terms(targets, grams, words, "cand"), max_postings)
+
+
+def tier2(s1: DataFrame, targets: DataFrame, k: int = TIER_TOP, max_postings: int = POSTING_CEILING, weights: DataFrame | None = None) -> DataFrame:
     """IDF-weighted overlap of words of name and address and of the name's trigrams, spaces included."""
-    words = text.tokens(F.concat_ws(" ", "name", "address"))
-    return top_per(_overlap(s1, targets, max_postings, words, text.char_ngrams(F.col("name"))), k)
+    words, grams = _tier2_terms()
+    return top_per(_overlap(s1, targets, max_postings, words, grams, weights), k)
 
 
 def legacy(s1: DataFrame, targets: DataFrame, k: int = 25, max_postings: int = LEGACY_CEILING) -> DataFrame:
@@ -90,8 +109,8 @@ def legacy(s1: DataFrame, targets: DataFrame, k: int = 25, max_postings: int = L
 def dense(s1: DataFrame, targets: DataFrame, k: int = TIER_TOP, id_col: str = "entity_id", vector_col: str = "embedding", block_rows: int = 4096, max_block_bytes: int = 32 << 20) -> DataFrame:
     """Exact cosine neighbours: s1, cand, score, rank.
 
-    The s1 side is the stated query set: it goes through the targets in blocks of at most block_rows queries, each a
-    matrix that is checked to be small before it is sent to the executors. A task keeps the k best of each query among its
+    The s1 side is the stated query set: it goes through the targets in blocks of at most block_rows queries, fewer where
+    the vectors are long, so that a block's matrix that is sent to the executors has at most max_block_bytes. A task keeps the k best of each query among its
     own targets, so what is shuffled is k rows a query and task. Zero vectors have cosine 0; null vectors are left out.
     """
     import numpy as np
@@ -121,13 +140,11 @@ def dense(s1: DataFrame, targets: DataFrame, k: int = TIER_TOP, id_col: str = "e
 
     def flush(rows: list) -> DataFrame:
         matrix = unit([r["v"] for r in rows])
-        if matrix.nbytes > max_block_bytes:
-            raise ValueError(f"a block of queries takes {matrix.nbytes} bytes; lower block_rows")
         return held.mapInPandas(search([r["s1"] for r in rows], matrix), "s1 string, cand string, score double")
 
     for row in s1.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("string").alias("s1"), F.col(vector_col).alias("v")).toLocalIterator():
         block.append(row)
-        if len(block) == block_rows:
+        if len(block) >= max(1, min(block_rows, max_block_bytes // (8 * max(len(row["v"]), 1)))):
             out = flush(block) if out is None else out.unionByName(flush(block))
             block = []
     if block:
@@ -147,9 +164,9 @@ def fuse(tiers: dict[int, DataFrame], k: int | None = None, rrf_k: int = RRF_K,
     return top_per(rows.groupBy("s1", "cand").agg(F.sum("score").alias("score")), k)
 
 
-def generate(s1: DataFrame, targets: DataFrame, k: int = MAX_CANDIDATES, ceiling: int = BUCKET_CEILING, max_postings: int = POSTING_CEILING, vectors: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def generate(s1: DataFrame, targets: DataFrame, k: int = MAX_CANDIDATES, ceiling: int = BUCKET_CEILING, max_postings: int = POSTING_CEILING, vectors: tuple[DataFrame, DataFrame] | None = None, weights: DataFrame | None = None) -> DataFrame:
     """Fused candidates of all tiers; the third takes part if both sides' vectors are given."""
-    tiers = {1: tier1(s1, targets, k, ceiling), 2: tier2(s1, targets, TIER_TOP, max_postings)}
+    tiers = {1: tier1(s1, targets, k, ceiling), 2: tier2(s1, targets, TIER_TOP, max_postings, weights)}
     if vectors:
         tiers[3] = dense(*vectors)
     return fuse(tiers, k)

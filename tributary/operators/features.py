@@ -1,6 +1,7 @@
 """The 32 similarity features of a candidate pair.
 
-pair_features() joins the candidates to both sides' normalised records, which are normalised once each, and projects.
+pair_features() joins the candidates to both sides' normalised records and projects. Sides that normalize.normalized() has
+made are not normalised again.
 Only the Jaro-Winkler and LCS kernels leave the JVM; every Indel ratio is an LCS length.
 """
 
@@ -48,8 +49,8 @@ def token_set_ratio(shared: Column, only_a: Column, only_b: Column, lcs: Column)
 
 
 def _side(df: DataFrame, side: str) -> DataFrame:
-    """Normalised columns of one side, prefixed."""
-    rows = normalize_addresses(normalize_names(df, phonetic=False))
+    """Normalised columns of one side, prefixed; records that are normalised already are taken as they are."""
+    rows = df if {"name", "address"} <= set(df.columns) else normalize_addresses(normalize_names(df, phonetic=False))
     words, place = F.col("name.tokens"), F.col("address.tokens")
     columns = {
         "raw": F.lower("name.raw"), "name": F.col("name.clean_name"), "tokens": words, "grams": F.array_distinct("name.char_3grams"),

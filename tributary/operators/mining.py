@@ -10,13 +10,31 @@ def hash_order(key: Column, seed: int = 42) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")))
 
 
+def with_hash_rank(df: DataFrame, key: Column, by: str | None = None, seed: int = 42, most: Column | None = None) -> DataFrame:
+    """The rows with `_rank`, from 1 in hash order of the key (ties by the key) in each group of `by`; with most, only those up to it.
+
+    The order is cut into 4096 parts by the hash; the sizes of the parts before are added to the rank within a part, so no
+    task orders a whole group, and parts that lie beyond `most` are not ordered at all.
+    """
+    group = F.col(by) if by else F.lit(0)
+    rows = df.withColumn("_h", hash_order(key, seed)).withColumns({"_g": F.struct(group.alias("v")), "_b": F.substring("_h", 1, 3)})
+    sizes = rows.groupBy("_g", "_b").agg(F.count("*").alias("_k"))
+    earlier = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_g", "_b", F.coalesce(F.sum("_k").over(earlier), F.lit(0)).alias("_before"))
+    rows = rows.join(before, ["_g", "_b"])
+    rows = rows if most is None else rows.where(F.col("_before") < most)
+    nth = F.row_number().over(Window.partitionBy("_g", "_b").orderBy("_h", key))
+    rows = rows.withColumn("_rank", F.col("_before") + nth)
+    rows = rows if most is None else rows.where(F.col("_rank") <= most)
+    return rows.select(*df.columns, "_rank")
+
+
 def stratified_sample(df: DataFrame, n: int, key: str = "entity_id", by: str = "country", seed: int = 42) -> DataFrame:
     """At most n rows, each group's share rounded half to even and at least one row while n allows."""
     total = Window.partitionBy(F.lit(0))
     sizes = df.groupBy(by).agg(F.count("*").alias("_size")).withColumn("_all", F.sum("_size").over(total))
     quota = F.greatest(F.lit(1), F.least(F.col("_size"), F.bround(F.lit(n) * F.col("_size") / F.col("_all")).cast("bigint")))
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(by).orderBy(hash_order(F.col(key), seed), key)))
-    some = ranked.join(sizes.select(by, quota.alias("_quota")), by).where("_rank <= _quota")
+    some = with_hash_rank(df.join(sizes.select(by, quota.alias("_quota")), by), F.col(key), by, seed, F.col("_quota"))
     return some.orderBy(hash_order(F.col(key), seed), key).limit(n).select(*df.columns)
 
 
@@ -62,8 +80,7 @@ def hard_negatives(candidates: DataFrame, truth_pairs: DataFrame, max_negatives:
 
 def balanced_subset(pairs: DataFrame, n: int, label: str = "label", seed: int = 42) -> DataFrame:
     """Up to n / 2 rows of each label in hash order of the pair."""
-    order = Window.partitionBy(label).orderBy(hash_order(F.concat_ws("|", "s1", "cand"), seed), "s1", "cand")
-    return pairs.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= n // 2).drop("_nth")
+    return with_hash_rank(pairs, F.concat_ws("|", "s1", "cand"), label, seed, F.lit(n // 2)).drop("_rank")
 
 
 def folds(df: DataFrame, n_splits: int = 5, key: str = "entity_id", group: str | None = None, stratify: str | None = None, seed: int = 42) -> DataFrame:
@@ -72,12 +89,26 @@ def folds(df: DataFrame, n_splits: int = 5, key: str = "entity_id", group: str |
         number = F.conv(F.substring(hash_order(F.col(group), seed), 1, 8), 16, 10).cast("bigint")
         return df.withColumn("fold", F.pmod(number, F.lit(n_splits)).cast("int"))
     if stratify:
-        nth = F.row_number().over(Window.partitionBy(stratify).orderBy(hash_order(F.col(key), seed), key))
-        return df.withColumn("fold", F.pmod(nth - 1, F.lit(n_splits)).cast("int"))
+        return with_hash_rank(df, F.col(key), stratify, seed).withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(n_splits)).cast("int")).drop("_rank")
     number = F.conv(F.substring(hash_order(F.col(key), seed), 1, 8), 16, 10).cast("bigint")
     return df.withColumn("fold", F.pmod(number, F.lit(n_splits)).cast("int"))
 
 
+def keep_first(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+    """The union of the frames with one row for each key: that of the earliest frame that has it.
+
+    Rows of one frame that share a key are told apart by all their columns, so the result is repeatable. Keys are
+    compared as values, null among them.
+    """
+    columns = frames[0].columns
+    rows = frames[0].select(*columns, F.lit(0).alias("_priority"))
+    for k, frame in enumerate(frames[1:], 1):
+        rows = rows.unionByName(frame.select(*columns, F.lit(k).alias("_priority")))
+    others = [c for c in columns if c not in keys]
+    first = rows.groupBy(*keys).agg(F.min(F.struct("_priority", *others)).alias("_first"))
+    return first.select(*[F.col(c) if c in keys else F.col(f"_first.{c}") for c in columns])
+
+
 def group_split(df: DataFrame, group: str, label: str = "label", n_splits: int = 5, seed: int = 42) -> DataFrame:
     """The rows with `is_validation`: the first fold of groups whose other rows hold both labels, else the first fold."""
     split = folds(df, n_splits, group=group, seed=seed)

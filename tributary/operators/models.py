@@ -237,8 +237,8 @@ class TextFeatures:
 
     def fit(self, df: DataFrame, column: str) -> TextFeatures:
         from pyspark.ml.functions import array_to_vector
-        from pyspark.mllib.linalg import Vectors
         from pyspark.mllib.linalg.distributed import RowMatrix
+        from pyspark.mllib.util import MLUtils
 
         grams = self._grams(df.select(column), column)
         self.vocabulary = CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=self.max_features).fit(grams)
@@ -248,8 +248,8 @@ class TextFeatures:
         import math
 
         self.idf = [math.log((1 + n) / (1 + frequency.get(k, 0))) + 1 for k in range(len(self.vocabulary.vocabulary))]
-        rows = counted.select(array_to_vector(self._weights(counted)).alias("v")).rdd.map(lambda r: Vectors.dense(r["v"].toArray()))
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        # Vectors are converted inside the JVM; no row passes through Python.
+        rows = MLUtils.convertVectorColumnsFromML(counted.select(array_to_vector(self._weights(counted)).alias("v")), "v").persist(StorageLevel.MEMORY_AND_DISK)
         found = RowMatrix(rows).computeSVD(min(self.components, max(1, len(self.idf) - 1)), computeU=False)
         rows.unpersist()
         self.axes = found.V.toArray().T.tolist()

@@ -97,19 +97,35 @@ def normalize_addresses(df: DataFrame, column: str = "business_address", out: st
     return rows.select(*kept, F.struct(*parts).alias(out))
 
 
-def prepare(df: DataFrame, profile: str = "canonical") -> DataFrame:
-    """Records ready for blocking: entity_id, country, name, address, tokens, char_3grams, metaphone, street, postal.
+def _known(df: DataFrame) -> DataFrame:
+    return df.where(~text.is_null_text(F.col("entity_id"), text.ID_NULL_TOKENS)).withColumns({"entity_id": F.trim("entity_id"), "country": F.upper(text.null_to(F.col("country"), text.ID_NULL_TOKENS, ""))})
 
-    `lite` lower-cases and trims only and takes numbers as they stand; `canonical` normalises. Rows without an entity_id
-    are left out. Both sides of a linkage must be prepared with the same profile.
+
+def normalized(df: DataFrame, phonetic: bool = True) -> DataFrame:
+    """Records with trimmed ids, upper-case countries and the structs name and address; rows without an entity_id are left out.
+
+    Blocking and the pair features both start from it, so a record is normalised once.
+    """
+    return normalize_addresses(normalize_names(_known(df), phonetic=phonetic))
+
+
+def blocking_view(rows: DataFrame) -> DataFrame:
+    """What blocking needs of normalised records: entity_id, country, name, address, tokens, char_3grams, metaphone, street, postal."""
+    return rows.select("entity_id", "country", F.col("name.clean_name").alias("name"), F.col("address.clean_address").alias("address"), F.col("name.tokens").alias("tokens"), F.col("name.char_3grams").alias("char_3grams"), F.col("name.metaphone_primary").alias("metaphone"), F.col("address.street_number").alias("street"), F.col("address.postal_code").alias("postal"))
+
+
+def prepare(df: DataFrame, profile: str = "canonical", phonetic: bool = True) -> DataFrame:
+    """Records ready for blocking, see blocking_view(). Without phonetic codes metaphone is null.
+
+    `lite` lower-cases and trims only and takes numbers as they stand; `canonical` normalises. Both sides of a linkage
+    must be prepared with the same profile.
     """
-    known = df.where(~text.is_null_text(F.col("entity_id"), text.ID_NULL_TOKENS)).withColumns({"entity_id": F.trim("entity_id"), "country": F.upper(text.null_to(F.col("country"), text.ID_NULL_TOKENS, ""))})
     if profile == "lite":
+        known = _known(df)
         known = known.withColumns({"_n": F.lower(text.null_to(F.col("business_name"), default="")), "_a": F.lower(text.null_to(F.col("business_address"), default=""))})
         words = text.tokens(F.col("_n"))
         known = known.withColumn("_code", kernels.metaphone(F.coalesce(F.get(words, F.lit(0)), F.lit(""))))
         return known.select("entity_id", "country", F.col("_n").alias("name"), F.col("_a").alias("address"), words.alias("tokens"), text.char_ngrams(F.array_join(words, ""), 3, True).alias("char_3grams"), F.col("_code.primary").alias("metaphone"), F.nullif(F.regexp_extract("_a", r"\b(\d+)\b", 1), F.lit("")).alias("street"), F.nullif(F.regexp_extract("_a", r"\b(\d{5,6})\b", 1), F.lit("")).alias("postal"))
     if profile != "canonical":
         raise ValueError(f"unknown profile {profile!r}; canonical or lite")
-    rows = normalize_addresses(normalize_names(known))
-    return rows.select("entity_id", "country", F.col("name.clean_name").alias("name"), F.col("address.clean_address").alias("address"), F.col("name.tokens").alias("tokens"), F.col("name.char_3grams").alias("char_3grams"), F.col("name.metaphone_primary").alias("metaphone"), F.col("address.street_number").alias("street"), F.col("address.postal_code").alias("postal"))
+    return blocking_view(normalized(df, phonetic))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions import text
+from tributary.sources import storage
 
 SMOOTHING, FOLDS = 10.0, 5
 
@@ -58,7 +59,7 @@ def frequency_encode(df: DataFrame, column: str, train: DataFrame | None = None,
 def label_codes(df: DataFrame, column: str) -> DataFrame:
     """(value, code): codes from 0 in the order of the values; null is `__MISSING__`."""
     values = df.select(F.coalesce(F.col(column).cast("string"), F.lit("__MISSING__")).alias("value")).distinct()
-    return values.withColumn("code", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("value")) - 1).cast("int"))
+    return positions(values, None, "value", "code").withColumn("code", F.col("code").cast("int"))
 
 
 def label_encode(df: DataFrame, codes: DataFrame, column: str, out: str | None = None) -> DataFrame:
@@ -152,6 +153,21 @@ def running_sums(df: DataFrame, order: str, sums: list[str], buckets: int = 256)
     return joined.select(*df.columns, *[(F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"before_{c}") for c in sums])
 
 
+def positions(df: DataFrame, by: str | None, order: str, out: str = "position") -> DataFrame:
+    """The rows with their position from 0 in their group (of all rows without `by`), in the order of distinct values.
+
+    Rows are cut into ranges of the order and written with the number of their range; the sizes of the ranges before are
+    added to the position within a range, so no task orders a whole group.
+    """
+    group = F.col(by) if by else F.lit(0)
+    ranged = storage.written(df.withColumn("_g", F.struct(group.alias("v"))).repartitionByRange("_g", order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("_g", "_part").agg(F.count("*").alias("_k"))
+    earlier = Window.partitionBy("_g").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_g", "_part", F.coalesce(F.sum("_k").over(earlier), F.lit(0)).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_g", "_part").orderBy(order)) - 1
+    return ranged.join(before, ["_g", "_part"]).select(*df.columns, (F.col("_before") + nth).alias(out))
+
+
 # --- ranks and metrics -----------------------------------------------------------------------------------------------
 
 

@@ -37,7 +37,7 @@ def id_lists(rows: DataFrame, universe: DataFrame, known: DataFrame | None = Non
 def id_list_file(spark: SparkSession, path: str, header: tuple[str, str], universe: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Rules of a tab-separated list file, its header and row format among them. A missing or empty file is one violation."""
     try:
-        lines = spark.read.text(path)
+        lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
         first = lines.first()
     except Exception as error:  # noqa: BLE001 - Spark has one class for all analysis errors
         if "PATH_NOT_FOUND" not in str(error):
@@ -46,8 +46,10 @@ def id_list_file(spark: SparkSession, path: str, header: tuple[str, str], univer
     if first is None:
         return spark.createDataFrame([("missing_or_empty_file", 1, path)], "rule string, n long, example string")
     wanted = "\t".join(header)
-    body = lines.where(F.col("value") != first["value"]).where("trim(value) <> ''")
-    head = spark.createDataFrame([(first["value"],)], "value string").where(F.col("value") != wanted)
+    # The first line of each file of the folder is its header; it alone is left out of the body, by its place.
+    tops = lines.where("block = 0").groupBy("file").agg(F.min(F.struct("at", "value")).alias("top")).select("top.*")
+    body = lines.join(tops.select("at"), "at", "left_anti").where("trim(value) <> ''")
+    head = tops.where(F.col("value") != wanted)
     rows = body.where(F.col("value").contains("\t")).select(F.trim(F.split("value", "\t")[0]).alias("s1"), F.get(F.split("value", "\t"), F.lit(1)).alias("ids"))
     rules = _rule("header", head, "value").unionByName(_rule("comma_separated", head.where(F.col("value") == ",".join(header)), "value"))
     rules = rules.unionByName(_rule("row_without_tab", body.where(~F.col("value").contains("\t")), "value"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import scores, text
 from tributary.operators import assign, blocking, calibrate, features, mining, models, normalize, reports, tabular
-from tributary.sources import files
+from tributary.sources import files, storage
 
 #: Weights of the fixed score, a stand-in for a model: they add up to 1.
 FIXED_SCORE = {"name_clean_exact_match": 0.30, "name_levenshtein_ratio": 0.25, "name_char_3gram_jaccard": 0.20, "addr_token_jaccard": 0.25}
@@ -30,8 +30,12 @@ class Options:
     blend: tuple[float, float, float] = (0.5, 0.25, 0.25)
     scorer: models.PairScorer | None = None
     profile: str = "canonical"
-    #: Applied to prepared records, which several joins read; DataFrame.checkpoint writes them once for large inputs.
-    cut: Callable[[DataFrame], DataFrame] | None = None
+    #: Without phonetic codes the bucket of sounds is left out.
+    phonetic: bool = True
+    #: Applied to normalised records and candidates, which several joins read: they are computed once. None leaves them as plans.
+    cut: Callable[[DataFrame], DataFrame] | None = storage.written
+    #: Weights of tier 2's terms by a reference (blocking.term_weights), where the linked targets are a part of it.
+    weights: DataFrame | None = field(default=None, repr=False)
     calibrated: DataFrame | None = field(default=None, repr=False)
 
 
@@ -47,14 +51,11 @@ class Linked:
 
 def chosen(s1: DataFrame, options: Options) -> DataFrame:
     """Records of the chosen countries and, by the order of their ids in each country, of the chosen positions."""
-    from pyspark.sql import Window
-
     rows = s1.where(F.col("country").isin(*options.countries)) if options.countries else s1
     if options.first_record is None and options.last_record is None:
         return rows
-    nth = F.row_number().over(Window.partitionBy("country").orderBy("entity_id")) - 1
     low, high = options.first_record or 0, options.last_record
-    ranked = rows.withColumn("_nth", nth).where(F.col("_nth") >= low)
+    ranked = tabular.positions(rows, "country", "entity_id", "_nth").where(F.col("_nth") >= low)
     return (ranked if high is None else ranked.where(F.col("_nth") < high)).drop("_nth")
 
 
@@ -62,9 +63,31 @@ def targets_of(s2: DataFrame, s3: DataFrame) -> DataFrame:
     return s2.unionByName(s3)
 
 
+def _cut(df: DataFrame, options: Options) -> DataFrame:
+    return options.cut(df) if options.cut else df
+
+
+def normalized(df: DataFrame, options: Options) -> DataFrame:
+    """Normalised records for block() and featurize(), or with another profile the raw ones; normalised ones stay as they are."""
+    if {"name", "address"} <= set(df.columns):
+        return df
+    return _cut(normalize.normalized(df, options.phonetic), options) if options.profile == "canonical" else df
+
+
+def _ready(df: DataFrame, options: Options) -> DataFrame:
+    if options.profile == "canonical" and {"name", "address"} <= set(df.columns):
+        return normalize.blocking_view(df)
+    return _cut(normalize.prepare(df, options.profile, options.phonetic), options)
+
+
 def block(s1: DataFrame, targets: DataFrame, options: Options) -> DataFrame:
-    cut = options.cut or (lambda df: df)
-    return blocking.generate(cut(normalize.prepare(s1, options.profile)), cut(normalize.prepare(targets, options.profile)), options.k, options.ceiling, options.max_postings)
+    """Fused candidates of raw records, or of records that normalized() has made."""
+    return _cut(blocking.generate(_ready(s1, options), _ready(targets, options), options.k, options.ceiling, options.max_postings, weights=options.weights), options)
+
+
+def term_weights(reference: DataFrame, options: Options) -> DataFrame:
+    """Options.weights of a reference's records, computed once."""
+    return _cut(blocking.term_weights(_ready(normalized(reference, options), options), options.max_postings), options)
 
 
 def featurize(candidates: DataFrame, s1: DataFrame, targets: DataFrame, kernel_features: bool = True) -> DataFrame:
@@ -96,10 +119,11 @@ def link(s1: DataFrame, targets: DataFrame, options: Options | None = None, mode
     """Candidates, scores and matches of all countries in one plan."""
     options = options or Options()
     s1 = chosen(s1, options)
+    own, others = normalized(s1, options), normalized(targets, options)
     universe = s1.select(F.trim("entity_id").alias("s1"), F.upper(text.null_to(F.col("country"), text.ID_NULL_TOKENS, "")).alias("country"))
-    candidates = block(s1, targets, options)
+    candidates = block(own, others, options)
     limits = calibrate.effective_thresholds(universe, options.calibrated, options.tau, options.tau_singleton)
-    featured = featurize(candidates, s1, targets, model is not None)
+    featured = featurize(candidates, own, others, model is not None)
     if model is None:
         scored = fixed_score(featured)
     elif options.scorer is None:
@@ -117,16 +141,17 @@ def link(s1: DataFrame, targets: DataFrame, options: Options | None = None, mode
 def train(s1: DataFrame, targets: DataFrame, truth: DataFrame, options: Options | None = None, model: models.Ensemble | None = None, max_negatives: int = 10) -> tuple[models.Ensemble, DataFrame, DataFrame]:
     """(model, thresholds by country, threshold over all): mined pairs train it, raw candidates calibrate it."""
     options = options or Options()
-    candidates = block(s1, targets, options)
+    own, others = normalized(s1, options), normalized(targets, options)
+    candidates = block(own, others, options)
     pairs = files.truth_pairs(truth)
     mined = mining.hard_negatives(candidates, pairs, max_negatives)
     ranked = mining.training_pairs(candidates, pairs, targets).select("s1", "cand", "rank", F.when(F.col("is_blocker"), F.lit(1.0) / F.col("rank")).otherwise(F.lit(0.0)).alias("score"))
-    rows = features.pair_features(ranked.join(mined.select("s1", "cand"), ["s1", "cand"], "left_semi"), s1, targets).join(mined, ["s1", "cand"]).persist()
+    rows = features.pair_features(ranked.join(mined.select("s1", "cand"), ["s1", "cand"], "left_semi"), own, others).join(mined, ["s1", "cand"]).persist()
     model = (model or models.Ensemble(features.FEATURES)).fit(rows, "label", "s1")
     rows.unpersist()
     universe = s1.select(F.trim("entity_id").alias("s1"), F.upper(text.null_to(F.col("country"), text.ID_NULL_TOKENS, "")).alias("country"))
-    # Both searches read the scores; checkpointed, they and the searches survive lost executors.
-    scored = assign.written(model.score(featurize(candidates, s1, targets)).select("s1", "cand", "p").join(universe, "s1"))
+    # Both searches read the scores.
+    scored = storage.written(model.score(featurize(candidates, own, others)).select("s1", "cand", "p").join(universe, "s1"))
     by_country = calibrate.best_threshold(calibrate.curve(scored, truth, by_country=universe))
     return model, by_country, calibrate.best_threshold(calibrate.curve(scored, truth))
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions import kernels, scores, text
 from tributary.operators import assign, blocking, calibrate, features, mining, models, normalize, reports, tabular, validate
-from tributary.plans import linkage
-from tributary.sources import files
+from tributary.plans import linkage, round_trips
+from tributary.sources import files, storage
 from tributary.streaming import arrivals
 
 
@@ -31,9 +29,26 @@ def sides(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(first), df.where(~first)
 
 
+def part_records(spark, sf_dir) -> DataFrame:
+    """Records with few names and places, so that buckets pass their ceiling, candidates their cap, and ties abound."""
+    key, size = F.col("p_partkey"), F.col("p_size") % 2
+    form = F.when(key % 4 == 0, " Ltd").when(key % 4 == 1, ", Inc.").when(key % 4 == 2, "").otherwise(" GmbH")
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("S"), (key % 3 + 1).cast("string"), F.lit("-"), key.cast("string")).alias("entity_id"),
+        F.concat("p_name", form).alias("business_name"),
+        F.concat_ws(" ", (size + 1).cast("string"), F.lower("p_type"), F.lit("road"), (size + 10000).cast("string")).alias("business_address"),
+        F.when(key % 10 < 8, "US").when(key % 10 == 8, "FR").otherwise("IN").alias("country"),
+    )
+
+
+def normal(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Both sides' normalised records, written once."""
+    return sides(storage.written(normalize.normalized(records(spark, sf_dir)), "normalized"))
+
+
 def prepared(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Prepared sides without phonetic codes, which SQL cannot express."""
-    return sides(normalize.prepare(records(spark, sf_dir)).withColumn("metaphone", F.lit(None).cast("string")))
+    own, others = normal(spark, sf_dir)
+    return normalize.blocking_view(own), normalize.blocking_view(others)
 
 
 def truth_pairs(spark, sf_dir) -> DataFrame:
@@ -61,15 +76,21 @@ def tier2(spark, sf_dir, max_postings=blocking.POSTING_CEILING):
 
 
 def scored(spark, sf_dir) -> DataFrame:
-    s1, targets = sides(records(spark, sf_dir))
-    rows = linkage.fixed_score(linkage.featurize(tier1(spark, sf_dir), s1, targets, kernel_features=False))
-    return rows.select("s1", "cand", "p").join(universe(spark, sf_dir), "s1")
+    own, others = normal(spark, sf_dir)
+    candidates = blocking.tier1(normalize.blocking_view(own), normalize.blocking_view(others))
+    rows = linkage.fixed_score(linkage.featurize(candidates, own, others, kernel_features=False))
+    return rows.select("s1", "cand", "p").join(own.select(F.col("entity_id").alias("s1"), "country"), "s1")
 
 
 def matches(spark, sf_dir, singleton=0.3, secondary=0.255, most=15):
     return assign.assign(scored(spark, sf_dir), None, singleton, secondary, most)
 
 
+def linked(spark, sf_dir, rows=records) -> linkage.Linked:
+    """The whole run with its default options: normalisation, both tiers and their fusion, score, assignment."""
+    return linkage.link(*sides(rows(spark, sf_dir)))
+
+
 def match_lists(spark, sf_dir):
     return assign.match_lists(matches(spark, sf_dir), universe(spark, sf_dir))
 
@@ -101,12 +122,15 @@ def bucket_keys(spark, sf_dir):
 
 
 def bucket_ceiling(spark, sf_dir):
-    postings = table(spark, sf_dir, "part").select(F.col("p_name").alias("key"), F.col("p_partkey").alias("id")).distinct()
-    return postings.groupBy("key").agg(F.count("*").alias("n_ids")).where("n_ids <= 30")
+    held = blocking.buckets(normalize.prepare(sides(part_records(spark, sf_dir))[1]))
+    return held.groupBy(F.replace("key", F.lit("\x1f"), F.lit("|")).alias("key")).agg(F.count("*").alias("n_ids"))
 
 
 def phonetic_candidates(spark, sf_dir):
-    return blocking.tier1(*sides(normalize.prepare(records(spark, sf_dir))))
+    """Records that share the bucket of sounds: code of the first word, postal code and country."""
+    s1, targets = prepared(spark, sf_dir)
+    coded = lambda df, i: df.where("metaphone <> ''").select(F.col("entity_id").alias(i), "country", F.col("metaphone").alias("code"), "postal")
+    return coded(s1, "s1").join(coded(targets, "cand"), ["country", "code", "postal"]).select("s1", "cand", "code", "postal")
 
 
 def lite_candidates(spark, sf_dir):
@@ -114,7 +138,8 @@ def lite_candidates(spark, sf_dir):
 
 
 def fused_candidates(spark, sf_dir):
-    return rounded(blocking.fuse({1: tier1(spark, sf_dir), 2: tier2(spark, sf_dir)}, 25))
+    sides_of = prepared(spark, sf_dir)
+    return rounded(blocking.fuse({1: blocking.tier1(*sides_of), 2: blocking.tier2(*sides_of)}, 25))
 
 
 def legacy_candidates(spark, sf_dir):
@@ -131,15 +156,19 @@ def dense_neighbours(spark, sf_dir):
     return rounded(blocking.dense(vectors.where("vec_id % 50 = 0"), vectors, id_col="vec_id"))
 
 
-ORACLE_FEATURES = ["name_exact_match", "name_clean_exact_match", "name_jaro_winkler", "name_levenshtein_ratio", "name_char_3gram_jaccard", "name_length_diff", "name_length_ratio", "name_first_token_match", "name_common_tokens_count", "addr_token_jaccard", "addr_street_num_status", "addr_postal_code_status", "is_source2", "is_source3", "blocking_rank"]
+def _featured(spark, sf_dir, kernel_features: bool = True) -> DataFrame:
+    own, others = normal(spark, sf_dir)
+    candidates = blocking.tier1(normalize.blocking_view(own), normalize.blocking_view(others))
+    return linkage.featurize(candidates, own, others, kernel_features)
 
 
 def all_features(spark, sf_dir):
-    return rounded(linkage.featurize(tier1(spark, sf_dir), *sides(records(spark, sf_dir))))
+    return rounded(_featured(spark, sf_dir))
 
 
 def pair_features(spark, sf_dir):
-    return all_features(spark, sf_dir).select("s1", "cand", *ORACLE_FEATURES)
+    """The features that need no kernel."""
+    return rounded(_featured(spark, sf_dir, False))
 
 
 def competitive(spark, sf_dir):
@@ -156,6 +185,7 @@ def country_thresholds(spark, sf_dir):
 
 
 def missed_truth(spark, sf_dir):
+    """With a low ceiling, so that something is missed."""
     return mining.missed_truth(tier2(spark, sf_dir, 20), truth_pairs(spark, sf_dir)).select("s1", "cand", "rank")
 
 
@@ -252,12 +282,23 @@ def validation_rules(spark, sf_dir):
     return validate.id_lists(lists, everyone).select("rule", "n")
 
 
+#: Learners of the registered queries: few and shallow trees, as their training sets have some tens of pairs.
+SMALL = {"gbt": {"maxIter": 5, "maxDepth": 3}, "forest": {"numTrees": 8, "maxDepth": 4}}
+
+
+def linkage_model(spark, sf_dir):
+    """The whole run with a trained model: mining, 32 features, ensemble, calibration by country, cascade with a pair scorer, assignment."""
+    s1, targets = sides(records(spark, sf_dir))
+    model, limits, _ = linkage.train(s1, targets, truth_lists(spark, sf_dir), model=models.Ensemble(features.FEATURES, options=SMALL))
+    return linkage.link(s1, targets, linkage.Options(calibrated=limits, scorer=models.PairScorer()), model).match_lists
+
+
 def model_scores(spark, sf_dir):
     """A small ensemble on mined pairs of all records, its score for every candidate."""
-    rows = assign.written(linkage.featurize(tier1(spark, sf_dir), *sides(records(spark, sf_dir))))
+    rows = storage.written(_featured(spark, sf_dir))
     labels = truth_pairs(spark, sf_dir).withColumn("label", F.lit(1))
     training = rows.join(labels, ["s1", "cand"], "left").withColumn("label", F.coalesce("label", F.lit(0)))
-    model = models.Ensemble(features.FEATURES, options={"gbt": {"maxIter": 5, "maxDepth": 3}, "forest": {"numTrees": 8, "maxDepth": 4}}).fit(training, "label", "s1")
+    model = models.Ensemble(features.FEATURES, options=SMALL).fit(training, "label", "s1")
     return rounded(model.score(rows).select("s1", "cand", "p_gbt", "p_forest", "p"))
 
 
@@ -305,19 +346,13 @@ def learned_pair_scorer(spark, sf_dir):
     s1, targets = sides(records(spark, sf_dir))
     named = lambda df, i, t: df.select(F.col("entity_id").alias(i), F.col("business_name").alias(t))
     pairs = training_pairs(spark, sf_dir).join(named(s1, "s1", "text_a"), "s1").join(named(targets, "cand", "text_b"), "cand")
-    pairs = assign.written(pairs)
+    pairs = storage.written(pairs)
     return rounded(models.LearnedPairScorer().fit(pairs).score(pairs).select("s1", "cand", "p_ce"), 4)
 
 
-def _scratch(spark) -> str:
-    """A new path in the folder that all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/tributary-{uuid.uuid4().hex}"
-
-
 def written_candidates(spark, sf_dir):
     """The candidate file, written and read again."""
-    path = _scratch(spark)
+    path = storage.scratch(spark, "files")
     files.write_candidates(candidate_lists(spark, sf_dir), path)
     rows = spark.read.options(sep="\t", header=True, emptyValue="", nullValue="\x01").csv(path)
     return rows.select("source1_entity_id", F.coalesce("candidate_entity_ids", F.lit("")).alias("candidate_entity_ids"))
@@ -325,7 +360,7 @@ def written_candidates(spark, sf_dir):
 
 def arrivals_scored(spark, sf_dir):
     """Targets that arrive as files of a stream, linked by micro-batches."""
-    folder = _scratch(spark)
+    folder = storage.scratch(spark, "files")
     s1, targets = sides(records(spark, sf_dir))
     files.write_tsv(targets, f"{folder}/in")
     arrivals.link_arrivals(arrivals.stream_records(spark, f"{folder}/in"), s1, f"{folder}/out", f"{folder}/state").awaitTermination()
@@ -342,7 +377,11 @@ def leaderboard(spark, sf_dir):
 
 
 QUERIES = {
-    "linkage": match_lists,
+    "linkage": lambda spark, sf_dir: linked(spark, sf_dir).match_lists,
+    "linkage_skewed": lambda spark, sf_dir: linked(spark, sf_dir, part_records).match_lists,
+    "scored_skewed": lambda spark, sf_dir: rounded(linked(spark, sf_dir, part_records).scored.select("s1", "cand", "p", "country")),
+    "linkage_model": linkage_model,
+    "generated_candidates": lambda spark, sf_dir: rounded(blocking.generate(*prepared(spark, sf_dir))),
     "records": records,
     "normalize_name": normalize_name,
     "normalize_address": normalize_address,
@@ -403,4 +442,4 @@ QUERIES = {
     "written_candidates": written_candidates,
     "arrivals": arrivals_scored,
     "concatenated_text": concatenated_text,
-}
+} | round_trips.QUERIES

@@ -69,7 +69,10 @@ def read_table(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -
     return df
 
 
-def load_competition(spark: SparkSession, train: str, test: str, id_col: str | None = None, target_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+def load_competition(spark: SparkSession, train: str | Config, test: str = "", id_col: str | None = None, target_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of two paths, or of a Config with its paths and columns; the columns that are named must be there."""
+    if isinstance(train, Config):
+        return load_competition(spark, train.paths.train, train.paths.test, train.columns.id, train.columns.target)
     return read_table(spark, train, (id_col, target_col)), read_table(spark, test, (id_col,))
 
 
@@ -84,10 +87,10 @@ def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> Da
 
 
 def write_tsv(df: DataFrame, path: str, append: bool = False, header: bool = True, order_by: str | None = None, single_file: bool = False) -> None:
-    """Tab-separated without quotes; empty strings stay empty. order_by sorts all rows, single_file makes one part."""
+    """Tab-separated without quotes; empty strings stay empty and outer spaces stay. order_by sorts all rows, single_file makes one part."""
     rows = df.orderBy(order_by) if order_by else df
     rows = rows.coalesce(1) if single_file else rows
-    rows.write.mode("append" if append else "overwrite").options(sep="\t", header=header, quote="", emptyValue="", nullValue="", escapeQuotes=False).csv(path)
+    rows.write.mode("append" if append else "overwrite").options(sep="\t", header=header, quote="", emptyValue="", nullValue="", escapeQuotes=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_candidates(lists: DataFrame, path: str, append: bool = False, header: bool = True) -> None:
@@ -116,23 +119,40 @@ def write_predictions(df: DataFrame, folder: str, name: str = "model", id_col: s
     return path
 
 
+class _Sink(io.RawIOBase):
+    """A file of the store as a stream to write to."""
+
+    def __init__(self, spark: SparkSession, target: str) -> None:
+        place = spark._jvm.org.apache.hadoop.fs.Path(target)
+        self.stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+
+    def writable(self) -> bool:
+        return True
+
+    def write(self, data) -> int:
+        self.stream.write(bytearray(data))
+        return len(data)
+
+    def close(self) -> None:
+        if not self.closed:
+            super().close()
+            self.stream.close()
+
+
 def zip_files(spark: SparkSession, members: dict[str, str], target: str) -> None:
-    """A zip of files by their name in it; folders of parts become one member each. All must exist and are read by Spark."""
+    """A zip of files by their name in it; folders of parts become one member each. All must exist and are read by Spark.
+
+    Bytes go to the store as they come: the driver holds one part file and a buffer at a time.
+    """
     absent = [p for p in members.values() if not exists(spark, p)]
     if absent:
         raise FileNotFoundError(", ".join(absent))
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as out:
+    with io.BufferedWriter(_Sink(spark, target), 1 << 20) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as out:
         for name, path in sorted(members.items()):
-            parts = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(path).orderBy("path").select("content")
-            with out.open(name, "w") as member:
-                for row in parts.toLocalIterator():
-                    member.write(row["content"])
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(target)
-    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
-    stream.write(bytearray(data.getvalue()))
-    stream.close()
+            files = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(path).select("path").orderBy("path")
+            with out.open(name, "w", force_zip64=True) as member:
+                for part in [r["path"] for r in files.collect()]:
+                    member.write(spark.read.format("binaryFile").load(part).select("content").first()["content"])
 
 
 def package_code(folder: str, target: str, extra: dict[str, str] | None = None, prefixes: tuple[str, ...] = ("code/",)) -> list[str]:
@@ -224,21 +244,41 @@ RUN = T.StructType.fromJson(
 
 
 class Ledger:
-    """Runs in one JSON file. A run with a known run_id replaces it; a missing, empty or broken file is an empty ledger."""
+    """Runs in one JSON file. A run with a known run_id replaces it; a missing, empty or broken file is an empty ledger.
+
+    With a session the path is one of a store that Spark reaches, else one of the local disk. The file is small: it is
+    read and written whole, and put in its place by renaming.
+    """
+
+    def __init__(self, path: str, spark: SparkSession | None = None) -> None:
+        self.path, self.spark = path, spark
 
-    def __init__(self, path: str) -> None:
-        self.path = path
+    def _content(self) -> bytes | None:
+        if self.spark:
+            return bytes(self.spark.read.format("binaryFile").load(self.path).select("content").first()[0]) if exists(self.spark, self.path) else None
+        if not os.path.exists(self.path):
+            return None
+        with open(self.path, "rb") as file:
+            return file.read()
 
     def runs(self) -> list[dict]:
         try:
-            with open(self.path) as file:
-                found = json.load(file)
+            found = json.loads(self._content() or b"")
         except (OSError, ValueError):
             return []
         return found if isinstance(found, list) else []
 
     def save(self, run: dict) -> None:
         rest = [r for r in self.runs() if r.get("run_id") != run["run_id"]]
+        if self.spark:
+            part = f"{self.path}.new"
+            with _Sink(self.spark, part) as sink:
+                sink.write(json.dumps([*rest, run], indent=1).encode())
+            place, old = (self.spark._jvm.org.apache.hadoop.fs.Path(p) for p in (part, self.path))
+            store = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            store.delete(old, False)
+            store.rename(place, old)
+            return
         folder = os.path.dirname(os.path.abspath(self.path))
         os.makedirs(folder, exist_ok=True)
         with tempfile.NamedTemporaryFile("w", dir=folder, delete=False) as file:
