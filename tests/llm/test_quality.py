@@ -87,3 +87,42 @@ def test_sample_is_a_share(corpus):
     n = quality.labelled(labels, sample=100).count()
     assert 60 < n < 140
     assert quality.keep_good(docs, labels, sample=100).count() == 240
+
+
+def plain_statistics(text):
+    """Each statistic from its description, a character or word at a time."""
+    text = text or ""
+    raw, words, lines = list(text.encode()), text.split(), [x for x in text.split("\n") if x.strip()]
+    if not raw:
+        return dict.fromkeys(quality.STATISTICS, 0.0)
+    n, pairs = len(words), list(zip(words, words[1:]))
+    share = lambda test: sum(1 for b in raw if test(b)) / len(raw)
+    letter = lambda b: b >= 128 or chr(b).isalpha()
+    per_word = lambda found: found / n if n else found / 1
+    return {
+        "n_words": n, "mean_word": per_word(sum(len(w) for w in words)), "long_words": per_word(sum(len(w) > 20 for w in words)),
+        "upper_words": per_word(sum(w.isupper() for w in words)), "title_words": per_word(sum(w.istitle() for w in words)), "distinct_words": per_word(len(set(words))),
+        "top_word": per_word(max((words.count(w) for w in set(words)), default=0)), "bigram_repeats": 1 - len(set(pairs)) / len(pairs) if pairs else 0.0,
+        "letters": share(letter), "digits": share(lambda b: 48 <= b <= 57), "spaces": share(lambda b: chr(b) in " \t\n\x0b\x0c\r"), "plain_marks": share(lambda b: b < 128 and chr(b) in ".,;:'\"()-"),
+        "bars": share(lambda b: b == ord("|")), "other_symbols": share(lambda b: 32 <= b < 128 and not letter(b) and chr(b) not in "0123456789 .,;:'\"()-|!"),
+        "exclamations": share(lambda b: b == ord("!")), "n_lines": len(lines), "repeated_lines": 1 - len(set(lines)) / len(lines) if lines else 0.0,
+        "words_per_line": n / max(len(lines), 1), "sentence_ends": per_word(sum(text.count(c) for c in ".!?")),
+    }
+
+
+def test_the_query_by_brute_force(spark):
+    """Whole documents of the test data: statistics by hand, the rules of the fitted model one by one."""
+    import math
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit_on(quality.text_statistics(docs), quality.labelled(labels))
+    assert model.rules and all(w for w in model.weights)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    found = quality.op5_quality(spark, "/root/testdata/sf0.001").collect()
+    assert len(found) == len(texts)
+    for r in found:
+        values = plain_statistics(texts[r["doc_id"]])
+        x = [values[name] for name in quality.STATISTICS]
+        margin = model.intercept + sum(w for rule, w in zip(model.rules, model.weights) if all((x[k] > cut) == above for k, cut, above in rule.parts))
+        assert abs(r["score"] - 1 / (1 + math.exp(-margin))) < 1e-9
+        assert r["predicted"] == int(r["score"] >= 0.7)

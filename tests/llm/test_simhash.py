@@ -88,3 +88,17 @@ def test_components_of_a_chain_and_a_star(spark):
     found = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(chain, "u long, v long")).collect()}
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100)}
     assert graph.components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_the_pivot_table_discards_pairs(spark):
+    """More pivots leave fewer pairs to verify, and always all that are close."""
+    r = random.Random(11)
+    near = [r.getrandbits(64) for _ in range(40)]
+    near += [x ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for x in near]
+    # Alike in most blocks and far apart in the rest.
+    wide = [(x & ~0xFFFFFF) | r.getrandbits(24) for x in near for _ in range(3)]
+    signed = sorted({int(np.uint64(x).view(np.int64)) for x in near + wide})
+    distinct = spark.createDataFrame([(x,) for x in signed], "fp long")
+    found = {n: simhash.filter_counts(distinct, len(signed), n_pivots=n).first() for n in (1, 8, 32)}
+    assert len({(c["compared"], c["close"]) for c in found.values()}) == 1 and found[1]["close"] > 0
+    assert found[1]["compared"] >= found[1]["verified"] > found[8]["verified"] > found[32]["verified"] >= found[32]["close"]

@@ -3,19 +3,19 @@
 A fingerprint has a bit for each position that is set in over half the hashes of a text's word shingles. Pairs within
 max_bits of each other are found among distinct fingerprints:
 
-1. Reference fingerprints restricted to blocks of the 64 bits: with b blocks and up to k differing bits, at least b - k
-   blocks are at distance 0. A bucket is a choice of b - k blocks and their contents, so every pair meets in a bucket. b
-   grows with the number of fingerprints so that a bucket's key has at least log2 of it bits.
-2. In a bucket, a table of distances to PIVOTS reference fingerprints over all bits is computed. By the triangle
-   inequality two fingerprints within k bits differ by at most k in each coordinate; pairs with a larger maximum
-   difference are discarded and the rest are verified by their own distance.
+1. Buckets by block banding: with b blocks of the 64 bits and up to k differing bits, at least b - k blocks are equal, so
+   every pair meets in the bucket of a choice of b - k blocks and their contents. b grows with the number of fingerprints
+   so that a bucket's key has at least log2 of it bits.
+2. In a bucket, the pivot distance table: the Hamming distances of each fingerprint to PIVOTS reference fingerprints. By
+   the triangle inequality two fingerprints within k bits differ by at most k in each coordinate; pairs with a larger
+   maximum difference are discarded and the survivors are verified by their own distance.
 3. Each task gives back a spanning forest of the pairs it verified, never the pairs. Components of the forests' union are
    the components of all pairs.
 
-Whole-word pivots alone would need all pairs: distances to a pivot all lie near 32, so the blocks are what keeps this
-near-linear, and the pivot table thins out the buckets. A bucket of more than HOT_BUCKET fingerprints is dealt out as
-pairs of its parts, so that no task holds more than two parts; all pairs of parts are compared. Exact copies are one
-fingerprint before any of this.
+The pivot table is what decides within a bucket; it can't stand alone, as distances to a pivot all lie near 32 and a table
+over all fingerprints would have to look at all pairs. How many pairs it discards is given by filter_counts(). A bucket of
+more than HOT_BUCKET fingerprints is dealt out as pairs of its parts, so that no task holds more than two parts; all pairs
+of parts are compared. Exact copies are one fingerprint before any of this.
 
 Null and empty texts, and those of white space, have fingerprint zero and are linked like any other. Repeated rows give
 repeated rows of the result. A row with a null doc_id gets the component of its fingerprint, whose number is the smallest
@@ -107,20 +107,24 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[other], nodes[label[other]]
 
 
-def _close_pairs(fps: np.ndarray, last: np.ndarray, table: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Verified pairs of fingerprints in the same run; last is the index of the run's last row."""
+def _close_pairs(fps: np.ndarray, last: np.ndarray, table: np.ndarray, max_bits: int, counts: dict[str, int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Verified pairs of fingerprints in the same run; last is the index of the run's last row. counts adds up pairs by what became of them."""
     unsigned, at, lag = fps.view(np.uint64), np.arange(len(fps)), 1
+    counts = {} if counts is None else counts
     while len(at := at[at + lag <= last[at]]):
         left = at
+        counts["compared"] = counts.get("compared", 0) + len(at)
         for some in (slice(0, 4), slice(4, None)):
             left = left[np.abs(table[left, some] - table[left + lag, some]).max(axis=1, initial=0) <= max_bits]
+        counts["verified"] = counts.get("verified", 0) + len(left)
         left = left[np.bitwise_count(unsigned[left] ^ unsigned[left + lag]) <= max_bits]
+        counts["close"] = counts.get("close", 0) + len(left)
         if len(left):
             yield fps[left], fps[left + lag]
         lag += 1
 
 
-def _link_batches(batches: Iterator[pa.RecordBatch], refs: np.ndarray, max_bits: int) -> Iterator[pa.RecordBatch]:
+def _link_batches(batches: Iterator[pa.RecordBatch], refs: np.ndarray, max_bits: int, counts: dict[str, int] | None = None) -> Iterator[pa.RecordBatch]:
     """Rows (set, key, part, fp) sorted by the first three."""
     held: list[np.ndarray] = []
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -132,7 +136,7 @@ def _link_batches(batches: Iterator[pa.RecordBatch], refs: np.ndarray, max_bits:
         table = np.bitwise_count(fps.view(np.uint64)[:, None] ^ refs[None, :]).astype(np.int8)
         ends = np.flatnonzero(np.r_[np.any([r[1:] != r[:-1] for r in rows[:3]], axis=0), True])
         last = np.repeat(ends, np.diff(np.r_[-1, ends]))
-        for pair in _close_pairs(fps, last, table, max_bits):
+        for pair in _close_pairs(fps, last, table, max_bits, counts):
             found.append(pair)
             n_found += len(pair[0])
             if n_found > _PAIRS:
@@ -158,9 +162,16 @@ def _link_batches(batches: Iterator[pa.RecordBatch], refs: np.ndarray, max_bits:
             yield pa.RecordBatch.from_arrays([pa.array(nodes[at : at + 100_000], pa.int64()), pa.array(roots[at : at + 100_000], pa.int64())], ["u", "v"])
 
 
-def links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """Spanning forests (u, v) of the pairs of distinct fingerprints (column fp, n rows) within max_bits."""
-    masks, refs = block_masks(n, max_bits), pivots(n_pivots)
+def _tally_batches(batches: Iterator[pa.RecordBatch], refs: np.ndarray, max_bits: int) -> Iterator[pa.RecordBatch]:
+    counts = dict.fromkeys(("compared", "verified", "close"), 0)
+    for _ in _link_batches(batches, refs, max_bits, counts):
+        pass
+    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()) for n in counts.values()], list(counts))
+
+
+def _bucketed(distinct: DataFrame, n: int, max_bits: int, hot_bucket: int) -> DataFrame:
+    """(set, key, part, fp) of every bucket, dealt out and sorted by the first three."""
+    masks = block_masks(n, max_bits)
     keys = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("set", "key"))
     part: Column = F.lit(0)
     if n > hot_bucket:
@@ -170,8 +181,20 @@ def links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS, n_pivots: int =
         pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.least(own, other) * F.col("parts") + F.greatest(own, other))
         keys = keys.join(hot.select("set", "key", "parts"), ["set", "key"], "left").withColumn("part", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(pairs)))
         part = F.col("part")
-    rows = keys.select("set", "key", part.cast("int").alias("part"), "fp").repartition("set", "key", "part").sortWithinPartitions("set", "key", "part")
-    return rows.mapInArrow(lambda batches: _link_batches(batches, refs, max_bits), "u bigint, v bigint")
+    return keys.select("set", "key", part.cast("int").alias("part"), "fp").repartition("set", "key", "part").sortWithinPartitions("set", "key", "part")
+
+
+def links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+    """Spanning forests (u, v) of the pairs of distinct fingerprints (column fp, n rows) within max_bits."""
+    refs = pivots(n_pivots)
+    return _bucketed(distinct, n, max_bits, hot_bucket).mapInArrow(lambda batches: _link_batches(batches, refs, max_bits), "u bigint, v bigint")
+
+
+def filter_counts(distinct: DataFrame, n: int, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+    """One row: pairs that meet in buckets (compared), those that the pivot table leaves (verified), and those within max_bits (close)."""
+    refs = pivots(n_pivots)
+    tallies = _bucketed(distinct, n, max_bits, hot_bucket).mapInArrow(lambda batches: _tally_batches(batches, refs, max_bits), "compared bigint, verified bigint, close bigint")
+    return tallies.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("compared", "verified", "close")])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED, n_pivots: int = PIVOTS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
