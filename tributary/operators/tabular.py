@@ -196,22 +196,13 @@ def rank_average(df: DataFrame, columns: list[str], weights: list[float] | None
     return ranked.withColumn(out, total).drop(*[f"{c}_rank" for c in columns])
 
 
-def _per_row(build: Callable[[Column, Column], Column]) -> Callable[[DataFrame, str, str], DataFrame]:
-    return lambda df, y, p: df.agg(build(F.col(y).cast("double"), F.col(p).cast("double")).alias("value"))
-
-
-def _f1(average: str) -> Callable[[DataFrame, str, str], DataFrame]:
-    def metric(df: DataFrame, y: str, p: str) -> DataFrame:
-        sides = df.select(F.explode(F.array_distinct(F.array(F.col(y), F.col(p)))).alias("c"), (F.col(y) == F.col(p)).alias("hit"), F.col(y).alias("y"), F.col(p).alias("p"))
-        counts = sides.groupBy("c").agg(F.count_if(F.col("hit")).alias("tp"), F.count_if(F.col("y") == F.col("c")).alias("n"), F.count_if(F.col("p") == F.col("c")).alias("m"))
-        f1 = F.when(F.col("n") + F.col("m") > 0, 2.0 * F.col("tp") / (F.col("n") + F.col("m"))).otherwise(F.lit(0.0))
-        if average == "macro":
-            return counts.agg(F.avg(f1).alias("value"))
-        if average == "weighted":
-            return counts.agg((F.sum(f1 * F.col("n")) / F.sum("n")).alias("value"))
-        return counts.agg((2.0 * F.sum("tp") / (F.sum("n") + F.sum("m"))).alias("value"))
-
-    return metric
+def _f1_values(df: DataFrame, y: str, p: str, averages: list[str]) -> DataFrame:
+    """One row with a column for each average of the classes' F1."""
+    sides = df.select(F.explode(F.array_distinct(F.array(F.col(y), F.col(p)))).alias("c"), (F.col(y) == F.col(p)).alias("hit"), F.col(y).alias("y"), F.col(p).alias("p"))
+    counts = sides.groupBy("c").agg(F.count_if(F.col("hit")).alias("tp"), F.count_if(F.col("y") == F.col("c")).alias("n"), F.count_if(F.col("p") == F.col("c")).alias("m"))
+    f1 = F.when(F.col("n") + F.col("m") > 0, 2.0 * F.col("tp") / (F.col("n") + F.col("m"))).otherwise(F.lit(0.0))
+    known = {"f1_macro": F.avg(f1), "f1_weighted": F.sum(f1 * F.col("n")) / F.sum("n"), "f1_micro": 2.0 * F.sum("tp") / (F.sum("n") + F.sum("m"))}
+    return counts.agg(*[known[a].alias(a) for a in averages])
 
 
 def _log_loss(y: Column, p: Column) -> Column:
@@ -225,26 +216,49 @@ def _auc(df: DataFrame, y: str, p: str) -> DataFrame:
     return running_sums(counts, "v", ["neg"]).withColumn("won", F.col("pos") * (F.col("before_neg") + F.col("neg") / 2)).agg((F.sum("won") / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("value"))
 
 
-METRICS: dict[str, Callable[[DataFrame, str, str], DataFrame]] = {
-    "rmse": _per_row(lambda y, p: F.sqrt(F.avg((y - p) * (y - p)))),
-    "mse": _per_row(lambda y, p: F.avg((y - p) * (y - p))),
-    "mae": _per_row(lambda y, p: F.avg(F.abs(y - p))),
-    "mape": _per_row(lambda y, p: F.coalesce(F.avg(F.when(y != 0, F.abs((y - p) / y))) * 100, F.lit(0.0))),
-    "smape": _per_row(lambda y, p: F.coalesce(F.avg(F.when(F.abs(y) + F.abs(p) != 0, 2.0 * F.abs(y - p) / (F.abs(y) + F.abs(p)))) * 100, F.lit(0.0))),
-    "accuracy": _per_row(lambda y, p: F.avg((y == p).cast("double"))),
-    "log_loss": _per_row(_log_loss),
-    "roc_auc": _auc,
-    "f1_macro": _f1("macro"),
-    "f1_micro": _f1("micro"),
-    "f1_weighted": _f1("weighted"),
+#: Metrics that are one aggregate over the rows.
+ROW_METRICS: dict[str, Callable[[Column, Column], Column]] = {
+    "rmse": lambda y, p: F.sqrt(F.avg((y - p) * (y - p))),
+    "mse": lambda y, p: F.avg((y - p) * (y - p)),
+    "mae": lambda y, p: F.avg(F.abs(y - p)),
+    "mape": lambda y, p: F.coalesce(F.avg(F.when(y != 0, F.abs((y - p) / y))) * 100, F.lit(0.0)),
+    "smape": lambda y, p: F.coalesce(F.avg(F.when(F.abs(y) + F.abs(p) != 0, 2.0 * F.abs(y - p) / (F.abs(y) + F.abs(p)))) * 100, F.lit(0.0)),
+    "accuracy": lambda y, p: F.avg((y == p).cast("double")),
+    "log_loss": _log_loss,
 }
+F1_METRICS = ("f1_macro", "f1_micro", "f1_weighted")
+METRICS = (*ROW_METRICS, "roc_auc", *F1_METRICS)
+
+
+def compute_metrics(df: DataFrame, wanted: dict[str, tuple[str, str]]) -> DataFrame:
+    """(metric, value) of metrics, each over its columns (truth, prediction): all that are plain aggregates in one pass, F1
+    averages over the same columns in one more, AUC in its own."""
+    unknown = sorted(set(wanted) - set(METRICS))
+    if unknown:
+        raise KeyError(f"unknown metric {', '.join(unknown)}; known: {', '.join(sorted(METRICS))}")
+    frames = []
+    plain = {m: columns for m, columns in wanted.items() if m in ROW_METRICS}
+    if plain:
+        frames.append(df.agg(*[ROW_METRICS[m](F.col(y).cast("double"), F.col(p).cast("double")).alias(m) for m, (y, p) in plain.items()]))
+    by: dict[tuple[str, str], list[str]] = {}
+    for m, columns in wanted.items():
+        if m in F1_METRICS:
+            by.setdefault(columns, []).append(m)
+    frames += [_f1_values(df, y, p, averages) for (y, p), averages in by.items()]
+    frames += [_auc(df, *wanted["roc_auc"]).withColumnRenamed("value", "roc_auc")] if "roc_auc" in wanted else []
+    out = None
+    for frame in frames:
+        rows = frame.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in frame.columns])).alias("x")).select("x.*")
+        out = rows if out is None else out.unionByName(rows)
+    return df.sparkSession.createDataFrame([], "metric string, value double") if out is None else out
 
 
 def get_metric(name: str) -> Callable[[DataFrame, str, str], DataFrame]:
+    """A function of (frame, truth, prediction) that gives a row with `value`."""
     key = "_".join(name.strip().lower().split())
     if key not in METRICS:
         raise KeyError(f"unknown metric {name!r}; known: {', '.join(sorted(METRICS))}")
-    return METRICS[key]
+    return lambda df, y, p: compute_metrics(df, {key: (y, p)}).select("value")
 
 
 def compute_metric(name: str, df: DataFrame, y: str = "y", p: str = "p") -> float | None:

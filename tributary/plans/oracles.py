@@ -315,4 +315,7 @@ SQL = {
     "concatenated_text": "SELECT event_id, coalesce(event_type, '') || ' | ' || coalesce(CAST(user_id AS VARCHAR), '') || ' | ' || coalesce(props, '') AS text FROM events",
 }
 SQL["written_candidates"] = SQL["candidate_lists"]
+SQL["arrivals"] = f"WITH RECURSIVE {PREPARED}, {LINKED} SELECT s1, cand, round(p, 6) AS p FROM scored"
+PAIR_TEXT = "list_distinct(list_filter(regexp_split_to_array(lower('name: ' || trim(business_name) || ' | addr: ' || trim(business_address) || ' | country: ' || trim(country)), '\\s+'), lambda x: x <> ''))"
+SQL["pair_scorer"] = f"WITH RECURSIVE {PREPARED}, {T1}, said AS (SELECT entity_id, {PAIR_TEXT} AS w FROM ent) SELECT s1, cand, round({JACCARD.format('a.w', 'b.w')}, 6) AS p_ce FROM t1 JOIN said a ON s1 = a.entity_id JOIN said b ON cand = b.entity_id"
 SQL |= round_trips.sql(PREPARED, T1, SCORED, TRUTH, ENTITIES)

@@ -243,11 +243,7 @@ def rank_average(spark, sf_dir):
 def _metrics(spark, sf_dir, wanted: dict[str, tuple[str, str]]) -> DataFrame:
     guess = F.when(F.col("l_tax") > 0.05, "R").when(F.col("l_tax") > 0.02, "N").otherwise("A")
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").alias("y"), (F.lit(25.0) + F.col("l_discount") * 100).alias("p"), (F.col("l_returnflag") == "R").cast("int").alias("c"), (F.col("l_tax") > 0.03).cast("int").alias("q"), F.round(F.col("l_discount") / 0.11, 6).alias("s"), F.col("l_returnflag").alias("cls"), guess.alias("guess"))
-    out = None
-    for name, (y, p) in wanted.items():
-        one = tabular.get_metric(name)(rows, y, p).select(F.lit(name).alias("metric"), F.round("value", 6).alias("value"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    return rounded(tabular.compute_metrics(rows, wanted))
 
 
 def regression_metrics(spark, sf_dir):
@@ -359,7 +355,7 @@ def written_candidates(spark, sf_dir):
 
 
 def arrivals_scored(spark, sf_dir):
-    """Targets that arrive as files of a stream, linked by micro-batches."""
+    """Targets that arrive as files of a stream, linked by micro-batches; all files arrive at once here, so there is one."""
     folder = storage.scratch(spark, "files")
     s1, targets = sides(records(spark, sf_dir))
     files.write_tsv(targets, f"{folder}/in")
