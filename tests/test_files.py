@@ -58,12 +58,14 @@ def test_scored_pairs_by_country(spark, tmp_path):
     assert [r["source1_id"] for r in files.read_scored(spark, str(tmp_path / "s"), "FR").collect()] == ["S1-2"]
 
 
-def test_package(tmp_path):
+def test_package(spark, tmp_path):
     (tmp_path / "code" / "__pycache__").mkdir(parents=True)
     (tmp_path / "code" / "a.py").write_text("1")
     (tmp_path / "code" / ".hidden").write_text("1")
     (tmp_path / "code" / "__pycache__" / "a.pyc").write_text("1")
     assert files.package_code(str(tmp_path / "code"), str(tmp_path / "o.zip"), prefixes=("code/", "src/")) == ["code/a.py", "src/a.py"]
+    assert files.package_code(str(tmp_path / "code"), f"file://{tmp_path}/store/o.zip", spark=spark) == ["code/a.py"]
+    assert zipfile.ZipFile(tmp_path / "store" / "o.zip").namelist() == ["code/a.py"]
     with pytest.raises(FileNotFoundError):
         files.package_code(str(tmp_path / "none"), str(tmp_path / "o.zip"))
 

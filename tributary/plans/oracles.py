@@ -143,6 +143,17 @@ GRID = """curve AS (
           SELECT step, s1, cand FROM (SELECT *, max(p) OVER (PARTITION BY step, s1) AS best, row_number() OVER (PARTITION BY step, s1 ORDER BY p DESC, cand) AS r FROM (
             SELECT * FROM (SELECT step, tau, s1, cand, p, country FROM scored JOIN taus ON p >= tau * 0.85::DOUBLE) QUALIFY row_number() OVER (PARTITION BY step, country, cand ORDER BY p DESC, s1) = 1)) WHERE best >= tau AND r <= 15) g
         LEFT JOIN pairs_true t ON g.s1 = t.s1 AND g.cand = t.cand GROUP BY step, g.s1) f USING (step, s1)) GROUP BY step, tau)"""
+THREE_COUNTRIES = " AND country IN ('EN', 'FR', 'DE')"
+
+
+def _competitive(most: int, where: str = "") -> str:
+    """The sequential pass over pairs by falling score, as the table pass: a row a pair, won or not."""
+    return f"""queue AS (SELECT s1, cand, p, row_number() OVER (ORDER BY p DESC, s1, cand) AS n FROM scored WHERE p >= 0.3{where}
+      ), pass(n, taken, held, s1, cand, p, won) AS (SELECT 0::BIGINT, []::VARCHAR[], []::VARCHAR[], '', '', 0.0::DOUBLE, FALSE
+        UNION ALL SELECT n, CASE WHEN ok THEN list_append(taken, cand) ELSE taken END, CASE WHEN ok THEN list_append(held, s1) ELSE held END, s1, cand, p, ok FROM (
+          SELECT q.n, taken, held, q.s1, q.cand, q.p, NOT list_contains(taken, q.cand) AND len(list_filter(held, lambda x: x = q.s1)) < {most} AND (NOT list_contains(held, q.s1) OR q.p >= 0.4) AS ok FROM pass JOIN queue q ON q.n = pass.n + 1))"""
+
+
 #: The curve of each country: its own records alone.
 COUNTRY_GRID = GRID.replace("SELECT step, tau, avg(f05) AS f05 FROM", "SELECT u_country AS country, step, tau, avg(f05) AS f05 FROM").replace("SELECT step, tau, u.s1, CASE", "SELECT u.country AS u_country, step, tau, u.s1, CASE").replace("(SELECT s1.entity_id AS s1, count(cand) AS n_true FROM s1 LEFT JOIN pairs_true ON s1.entity_id = pairs_true.s1 GROUP BY 1) u", "(SELECT s1.entity_id AS s1, s1.country, count(cand) AS n_true FROM s1 LEFT JOIN pairs_true ON s1.entity_id = pairs_true.s1 GROUP BY 1, 2) u").replace("GROUP BY step, tau)", "GROUP BY u_country, step, tau)")
 TAUS = "taus AS (SELECT k AS step, round(0.3::DOUBLE + k * (0.6::DOUBLE / 24), 10) AS tau FROM range(25) x(k))"
@@ -256,11 +267,11 @@ SQL = {
     "metaphone_codes": f"WITH RECURSIVE {ENTITIES}, {oracle_kernels.phonetic('SELECT DISTINCT unnest(tokens) AS w FROM (' + 'WITH RECURSIVE ' + PREPARED + ' SELECT tokens FROM prep)', LETTERS)} SELECT w AS word, code AS primary, other AS secondary FROM codes",
     "phonetic_candidates": f"WITH RECURSIVE {PREPARED} SELECT DISTINCT a.entity_id AS s1, b.entity_id AS cand, a.sound AS code, a.postal FROM s1 a JOIN targets b USING (country, sound, postal) WHERE a.sound <> ''",
     "lite_candidates": f"WITH RECURSIVE {LITE}, {T1} SELECT s1, cand, round(score, 6) AS score, rank FROM t1",
-    "competitive_assignment": f"""WITH RECURSIVE {PREPARED}, {T1}, {SCORED}, queue AS (SELECT s1, cand, p, row_number() OVER (ORDER BY p DESC, s1, cand) AS n FROM scored WHERE p >= 0.3
-      ), pass(n, taken, held, s1, cand, p, won) AS (SELECT 0::BIGINT, []::VARCHAR[], []::VARCHAR[], '', '', 0.0::DOUBLE, FALSE
-        UNION ALL SELECT n, CASE WHEN ok THEN list_append(taken, cand) ELSE taken END, CASE WHEN ok THEN list_append(held, s1) ELSE held END, s1, cand, p, ok FROM (
-          SELECT q.n, taken, held, q.s1, q.cand, q.p, NOT list_contains(taken, q.cand) AND len(list_filter(held, lambda x: x = q.s1)) < 2 AND (NOT list_contains(held, q.s1) OR q.p >= 0.4) AS ok FROM pass JOIN queue q ON q.n = pass.n + 1))
-      SELECT s1, cand, p, CAST(row_number() OVER (PARTITION BY s1 ORDER BY n) AS INT) AS rank FROM pass WHERE won""",
+    "competitive_assignment": f"WITH RECURSIVE {PREPARED}, {T1}, {SCORED}, {_competitive(2)} SELECT s1, cand, p, CAST(row_number() OVER (PARTITION BY s1 ORDER BY n) AS INT) AS rank FROM pass WHERE won",
+    "reassigned": f"WITH RECURSIVE {PREPARED}, {T1}, {SCORED}, {_competitive(15, THREE_COUNTRIES)} SELECT entity_id AS source1_entity_id, coalesce(string_agg(cand, ',' ORDER BY n), '') AS matched_entity_ids FROM s1 LEFT JOIN (SELECT * FROM pass WHERE won) m ON s1.entity_id = m.s1 GROUP BY entity_id",
+    "assignment_universe": f"WITH RECURSIVE {PREPARED}, {T1}, {SCORED}, inside AS (SELECT * FROM scored WHERE CAST(regexp_extract(s1, '([0-9]+)$', 1) AS BIGINT) % 2 = 0), {ASSIGNED.format(secondary='0.2::DOUBLE', singleton='0.3::DOUBLE', most=15).replace('FROM scored', 'FROM inside')} SELECT * FROM matched",
+    "saved_model": f"WITH RECURSIVE {PREPARED}, {T1} SELECT s1, cand, TRUE AS same FROM t1",
+    "safe_floats": "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 4 THEN o_totalprice ELSE -1.0::DOUBLE END AS value FROM orders",
     "country_thresholds": f"WITH RECURSIVE {PREPARED}, {T1}, {SCORED}, {TRUTH}, {TAUS}, {COUNTRY_GRID} SELECT country, round(quantile_cont(tau, 0.5), 6) AS tau, round(max(f05), 6) AS f05 FROM (SELECT *, max(f05) OVER (PARTITION BY country) AS best FROM curve) WHERE best - f05 <= 1e-5 GROUP BY country",
     "linkage": f"WITH RECURSIVE {PREPARED}, {LINKED} {MATCH_LISTS}",
     "linkage_skewed": f"WITH RECURSIVE {PREPARED_PARTS}, {LINKED} {MATCH_LISTS}",

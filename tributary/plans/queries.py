@@ -176,6 +176,18 @@ def competitive(spark, sf_dir):
     return assign.competitive(scored(spark, sf_dir), limits, 2)
 
 
+def assignment_universe(spark, sf_dir):
+    """Pairs of records outside the universe claim nothing."""
+    some = universe(spark, sf_dir).where(F.regexp_extract("s1", "([0-9]+)$", 1).cast("bigint") % 2 == 0)
+    return assign.assign(scored(spark, sf_dir), some, 0.3, 0.2)
+
+
+def reassigned(spark, sf_dir):
+    """The competitive assignment of a run's scores under thresholds by country, as a match file's lists."""
+    limits = {c: (0.3, 0.4) for c in ("EN", "FR", "DE")}
+    return linkage.reassign(scored(spark, sf_dir), universe(spark, sf_dir), limits)[0]
+
+
 def curve(spark, sf_dir):
     return calibrate.curve(scored(spark, sf_dir), truth_lists(spark, sf_dir))
 
@@ -298,6 +310,23 @@ def model_scores(spark, sf_dir):
     return rounded(model.score(rows).select("s1", "cand", "p_gbt", "p_forest", "p"))
 
 
+def saved_model(spark, sf_dir):
+    """An ensemble that is saved and loaded scores as it did."""
+    rows = storage.written(_featured(spark, sf_dir))
+    labels = truth_pairs(spark, sf_dir).withColumn("label", F.lit(1))
+    model = models.Ensemble(features.FEATURES, options=SMALL).fit(rows.join(labels, ["s1", "cand"], "left").na.fill(0, "label"), "label", "s1")
+    path = storage.scratch(spark, "model")
+    model.save(path)
+    again = models.Ensemble.load(path, features.FEATURES)[0].score(rows, "q").select("s1", "cand", "q")
+    return model.score(rows).join(again, ["s1", "cand"]).select("s1", "cand", (F.abs(F.col("p") - F.col("q")) < 1e-12).alias("same"))
+
+
+def safe_floats(spark, sf_dir):
+    key = F.col("o_orderkey")
+    raw = F.when(key % 5 == 0, "x").when(key % 5 == 1, "NaN").when(key % 5 == 2, F.lit(None)).when(key % 5 == 3, "").otherwise(F.col("o_totalprice").cast("string"))
+    return rounded(table(spark, sf_dir, "orders").select("o_orderkey", text.safe_float(raw, -1.0).alias("value")))
+
+
 def pair_scorer(spark, sf_dir):
     s1, targets = sides(records(spark, sf_dir))
     side = lambda df, i, t: df.select(F.col("entity_id").alias(i), text.pair_text(F.col("business_name"), F.col("business_address"), F.col("country")).alias(t))
@@ -397,6 +426,10 @@ QUERIES = {
     "all_features": all_features,
     "assignment": lambda spark, sf_dir: matches(spark, sf_dir, 0.5, 0.2, 3),
     "competitive_assignment": competitive,
+    "assignment_universe": assignment_universe,
+    "reassigned": reassigned,
+    "saved_model": saved_model,
+    "safe_floats": safe_floats,
     "threshold_curve": lambda spark, sf_dir: rounded(curve(spark, sf_dir)),
     "best_threshold": lambda spark, sf_dir: rounded(calibrate.best_threshold(curve(spark, sf_dir))),
     "country_thresholds": country_thresholds,

@@ -155,12 +155,15 @@ def zip_files(spark: SparkSession, members: dict[str, str], target: str) -> None
                     member.write(spark.read.format("binaryFile").load(part).select("content").first()["content"])
 
 
-def package_code(folder: str, target: str, extra: dict[str, str] | None = None, prefixes: tuple[str, ...] = ("code/",)) -> list[str]:
-    """A local zip of a code folder under each prefix, without hidden, cached and build files; names are returned."""
+def package_code(folder: str, target: str, extra: dict[str, str] | None = None, prefixes: tuple[str, ...] = ("code/",), spark: SparkSession | None = None) -> list[str]:
+    """A zip of the driver's code folder under each prefix, without hidden, cached and build files; names are returned.
+
+    With a session the zip goes to the store that Spark reaches, byte by byte, else to the local disk.
+    """
     if not os.path.isdir(folder):
         raise FileNotFoundError(folder)
     names = []
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+    with io.BufferedWriter(_Sink(spark, target), 1 << 20) if spark else open(target, "wb") as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as out:
         for top, dirs, found in os.walk(folder):
             dirs[:] = sorted(d for d in dirs if not d.startswith(".") and d != "__pycache__" and not d.endswith(".egg-info"))
             for name in sorted(f for f in found if not f.startswith(".") and not f.endswith(".pyc")):
