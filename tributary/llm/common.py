@@ -84,6 +84,27 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def hashed_bits(keys: DataFrame, bits: int = 24) -> Column:
+    """A bitmap of 2^bits slots, 2 MB however many keys there are, of the hashes of a frame's one column: for may_hold()."""
+    slots = keys.select(F.xxhash64(keys.columns[0]).bitwiseAND(F.lit((1 << bits) - 1)).alias("slot"))
+    longs = slots.groupBy(F.shiftright("slot", 6).alias("k")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 AS INT)))").alias("bits"))
+    whole = keys.sparkSession.range(0, 1 << bits >> 6, 1, 1).select(F.col("id").alias("k")).join(longs, "k", "left")
+    packed = whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("k", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))), lambda x: x["bits"]).alias("words"))
+    return stored(packed, "bitmap").scalar()
+
+
+def may_hold(bitmap: Column, key: Column, bits: int = 24) -> Column:
+    """False only for keys that were not in the bitmap's frame: rows are sorted out before a shuffle, and a join decides on the rest."""
+    slot = F.xxhash64(key).bitwiseAND(F.lit((1 << bits) - 1))
+    return F.getbit(F.get(bitmap, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def without(rows: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not in the stored frame `dropped` (one column of that name). Only rows that its bitmap holds are shuffled."""
+    flagged = may_hold(hashed_bits(dropped), F.col(key))
+    return rows.where(~flagged).unionByName(rows.where(flagged).join(dropped, key, "left_anti").select(*[F.col(f"`{c}`") for c in rows.columns]))
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The batches in parts of so many rows, so that Python holds few texts at a time."""
     for batch in batches:
