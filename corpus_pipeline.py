@@ -1,6 +1,7 @@
 """Corpus pipeline: five stages, each one operator over all that the stage before has kept.
 
-Quality classifier, line dedup, near-dedup by exact Jaccard similarity, benchmark decontamination, packing. Each stage
+Quality classifier, line dedup, near-dedup by SimHash and pivot tables with an exact check and an exact search for what
+lies beyond their bits, benchmark decontamination, packing. Each stage
 takes (spark, docs, sf_dir) and gives a frame that is written to the shared folder and read again as the next stage's
 docs. All but the last give the columns of documents, and extra columns as they are, whatever their names. Near-dedup and decontamination decide on rows, not on doc_ids: rows
 with a null doc_id or with one that others share are dropped or kept by their own text. Empty tables pass through.
@@ -34,7 +35,10 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row of each group of Jaccard similarity 0.8 or more over five-word shingles: the smallest doc_id, nulls last."""
+    """A row of each group of Jaccard similarity 0.8 or more over five-word shingles: the smallest doc_id, nulls last.
+
+    Groups start from op1's method, see tributary/llm/jaccard.py.
+    """
     common.bound_batches(spark)
     rows, row = _numbered(docs)
     groups = jaccard.near_duplicates(rows.select(F.col(row).alias("row"), "text"))

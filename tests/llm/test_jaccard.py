@@ -95,3 +95,21 @@ def test_bitmaps_and_posts_lose_no_pair():
         total = len(a) + len(b)
         assert (total - int(np.bitwise_count((x ^ y).view(np.uint64)).sum())) / 2 >= len(set(a) & set(b)) >= 0.8 / 1.8 * total - 1e-6
     assert seen > 1000
+
+
+def test_simhash_links_come_first(spark, texts, monkeypatch):
+    """The groups start from pairs of simhash's pivot tables; those that are not alike are not linked."""
+    given = []
+    candidate_pairs = jaccard.simhash.candidate_pairs
+
+    def seen(marked):
+        found = candidate_pairs(marked)
+        given.extend(tuple(r) for r in found.collect())
+        return found
+
+    monkeypatch.setattr(jaccard.simhash, "candidate_pairs", seen)
+    df = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
+    found = dict(jaccard.near_duplicates(df).collect())
+    want = groups(texts)
+    assert [found[k] for k in range(len(texts))] == want
+    assert given and all(u < v for u, v in given) and any(want[u] == want[v] for u, v in given)

@@ -1,20 +1,25 @@
-"""Near-duplicates by the exact Jaccard similarity of word shingles.
+"""Near-duplicates by SimHash and pivot distance tables, held to the exact Jaccard similarity of word shingles.
 
 Words are split as in simhash; a text of fewer words than a shingle is one shingle, and texts without words are copies of
-each other. Two texts are linked if 5-word shingles in both are at least 0.8 of those in either. Every such pair is found:
+each other. Two texts are linked if 5-word shingles in both are at least 0.8 of those in either.
 
-1. Texts with the same set of shingles are one set, known by its least row.
+Texts with the same set of shingles are one set, known by its least row. The method of simhash comes first: fingerprints of
+the sets' shingles, buckets, pivot tables and verified distances give pairs within its bits, and those that are 0.8 alike
+are linked. Pairs of 0.8 that lie further apart than these bits are searched for among the components that result, so that
+every pair is found:
+
+1. Sets that SimHash has linked are in one component from the start and are not compared again.
 2. Shingles have one order for all sets. A set of n posts the first n - ceil(0.8 n) + 1 of them; the first n - ceil(8 n / 9)
    + 1 of those are marked. Of two sets of 0.8 or more, a marked post of the smaller one is a post of the larger one, so a
    bucket's pairs are a marked set and a larger one. The order is rarest first, by counts of a sample: any order is exact,
    this one keeps phrases that many texts share out of the posts.
 3. Every set has a bitmap of BITS parities of its shingles' hashes. Bits in which two bitmaps differ are shingles that only
    one of both has, so a pair with too many of them is dropped before its shingles are compared; no pair is lost.
-4. The smallest marked set of each bucket is compared with the larger sets there, and components are formed. Then, in
+4. The smallest marked set of each bucket is compared with the larger sets there that are in another component, and components are formed. Then, in
    buckets that hold several components, all pairs across components are: a large group of near copies costs a row a
    member, unless its members are not alike. Large buckets are dealt out as pairs of their parts, none is collected.
 
-SimHash cannot stand in for 2: by its collision probability (estimated, not measured) fingerprints of texts at 0.8 differ
+SimHash alone cannot stand in for 2: by its collision probability (estimated, not measured) fingerprints of texts at 0.8 differ
 by about 10 bits of 64, often more, and blocks that find 13 or more bits need tens of thousands of choices.
 """
 
@@ -28,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common, graph
+from . import common, graph, simhash
 
 SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
 #: Texts that the order of shingles is taken from, the count from which a shingle is told apart, and the most of those.
@@ -201,16 +206,24 @@ def near_duplicates(texts: DataFrame, shingle: int = SHINGLE, similarity: float
     # Only rows that may be copies of others are held against the classes.
     copies = sets.select("row", "digest").join(classes, "digest").where("row <> first").select("row")
     copied = common.may_hold(common.hashed_bits(copies), F.col("row"))
-    shown = sets.select("row", "n", "marked", "posts")
-    only = shown.where(~copied).unionByName(shown.where(copied).join(classes.select(F.col("first").alias("row")), "row", "left_semi"))
+    firsts = lambda rows: rows.where(~copied).unionByName(rows.where(copied).join(classes.select(F.col("first").alias("row")), "row", "left_semi"))
+
+    marked = common.stored(simhash.fingerprints(firsts(texts), "row", "text", shingle), "fingerprints")
+    near = _alike(simhash.candidate_pairs(marked), sets, texts, shingle, similarity)
+    common.discard(marked)
+    close = common.stored(graph.components(near), "labels")
+
+    only = firsts(sets.select("row", "n", "marked", "posts"))
     posts = only.select("row", "n", "marked", F.posexplode("posts").alias("k", "post")).select("post", "row", "n", (F.col("k") < F.col("marked")).alias("marked"))
     buckets = posts.groupBy("post").agg(F.count("*").alias("members"), F.min(F.when(F.col("marked"), F.struct("n", "row"))).alias("c"))
     buckets = common.stored(buckets.where("members > 1 AND c IS NOT NULL").select("post", "members", F.col("c.n").alias("c_n"), F.col("c.row").alias("c_row")), "buckets")
     # Most posts are in one set alone: a bitmap of the others' keeps them out of the join's shuffle.
     posted = common.stored(posts.where(common.may_hold(common.hashed_bits(buckets.select("post")), F.col("post"))).join(buckets, "post"), "posted")
 
-    stars = posted.where("row <> c_row AND n >= c_n").where(F.col("c_n") >= F.col("n") * F.lit(similarity) - 1e-6)
-    linked = _alike(stars.select(F.least("row", "c_row").alias("u"), F.greatest("row", "c_row").alias("v")), sets, texts, shingle, similarity)
+    stars = posted.where("row <> c_row AND n >= c_n").where(F.col("c_n") >= F.col("n") * F.lit(similarity) - 1e-6).select("row", "c_row").distinct()
+    named = lambda node: close.select(F.col("node").alias(node), F.col("root").alias(f"{node}_root"))
+    stars = stars.join(named("row"), "row", "left").join(named("c_row"), "c_row", "left").where("coalesce(row_root, row) <> coalesce(c_row_root, c_row)")
+    linked = _alike(stars.select(F.least("row", "c_row").alias("u"), F.greatest("row", "c_row").alias("v")), sets, texts, shingle, similarity).unionByName(near)
     labels = common.stored(graph.components(linked), "labels")
 
     members = posted.select("post", "members", "row", "n", "marked").join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("root", "row")).drop("root")
@@ -230,6 +243,6 @@ def near_duplicates(texts: DataFrame, shingle: int = SHINGLE, similarity: float
     roots = common.stored(graph.components(linked).withColumnRenamed("node", "first"), "roots")
     found = classes.join(roots, "first", "left").select("digest", F.coalesce("root", "first").alias("group"))
     groups = common.stored(sets.select("row", "digest").join(found, "digest").select("row", "group"), "groups")
-    for frame in (sets, classes, labels, roots):
+    for frame in (sets, classes, close, labels, roots):
         common.discard(frame)
     return groups

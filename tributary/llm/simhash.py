@@ -197,6 +197,21 @@ def filter_counts(distinct: DataFrame, n: int, max_bits: int = MAX_BITS, n_pivot
     return tallies.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("compared", "verified", "close")])
 
 
+def candidate_pairs(marked: DataFrame, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+    """Pairs (u, v), u < v, of the rows (doc_id, fp): a row with the least row of its fingerprint, and the least rows of linked fingerprints.
+
+    Their components are those of all pairs within max_bits; a group of copies costs a pair a row.
+    """
+    distinct = common.stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    linked = links(distinct, distinct.count(), max_bits, n_pivots, hot_bucket).distinct()
+    side = lambda x: distinct.select(F.col("fp").alias(x), F.col("first").alias(f"first_{x}"))
+    apart = linked.join(side("u"), "u").join(side("v"), "v").select(F.least("first_u", "first_v").alias("u"), F.greatest("first_u", "first_v").alias("v"))
+    same = marked.join(distinct, "fp").where("doc_id <> first").select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
+    found = common.stored(apart.unionByName(same), "simhash-pairs")
+    common.discard(distinct)
+    return found
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED, n_pivots: int = PIVOTS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """Per row: doc_id, fp, component_id (the smallest doc_id that links reach)."""
     marked = common.stored(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
