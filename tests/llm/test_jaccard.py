@@ -113,3 +113,55 @@ def test_simhash_links_come_first(spark, texts, monkeypatch):
     want = groups(texts)
     assert [found[k] for k in range(len(texts))] == want
     assert given and all(u < v for u, v in given) and any(want[u] == want[v] for u, v in given)
+
+
+def test_shuffle_files_go_with_the_job(spark):
+    """What a stored frame has shuffled does not stay on disk, and the session's setting is as before."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, tracker = spark.conf.get(key), spark._jsc.sc().env().mapOutputTracker()
+    held = spark.range(0, 1000, 1, 3).groupBy("id").count()
+    n = tracker.shuffleStatuses().size()
+    back = common.stored(held.repartition(2, "count"), "t")
+    assert back.count() == 1000 and spark.conf.get(key) == before
+    assert tracker.shuffleStatuses().size() <= n + 1  # the count's own
+
+
+def test_wide_bitmaps_lose_no_pair():
+    """Bitmaps by size: pairs of 0.8 pass, also where both have different widths; most long pairs of 0.5 are dropped."""
+    r, passed, far = np.random.default_rng(3), 0, 0
+    for n in (1, 2, 5, 60, 500, 1000, 2040, 4090, 9000):
+        for _ in range(12):
+            both, more, other = np.split(r.integers(-(2**62), 2**62, 3 * n), 3)
+            for share in (0, 0.1, 0.24, 0.5):
+                k = int(share * n)
+                a, b = np.unique(both), np.unique(np.concatenate([both, more[:k]]))
+                c = np.unique(np.concatenate([both, other[:k]]))
+                for x, y in ((a, b), (b, a), (b, c)):
+                    shared = len(np.intersect1d(x, y))
+                    fits = jaccard.may_be_alike(len(x), jaccard.wide_bitmap(x), len(y), jaccard.wide_bitmap(y), 0.8)
+                    if shared >= 0.8 * (len(x) + len(y) - shared):
+                        passed += 1
+                        assert fits
+                    elif n > 400 and share == 0.5:
+                        far += 1
+                        assert not fits
+    assert passed > 300 and far > 100
+
+
+def test_long_texts_that_share_a_part(spark, monkeypatch):
+    """Texts of many more shingles than BITS: pairs that are not alike are dropped before their shingles are shuffled."""
+    counts, stored = {"pairs": 0, "near": 0}, common.stored
+
+    def seen(df, what):
+        back = stored(df, what)
+        if what in counts:
+            counts[what] += back.count()
+        return back
+
+    monkeypatch.setattr(common, "stored", seen)
+    passage = words(500, 2500)
+    out = [f"{passage} {words(600 + k, 1500)}" for k in range(12)]
+    out += [out[0] + " tail", out[5] + " end of it"]
+    found = dict(jaccard.near_duplicates(spark.createDataFrame(list(enumerate(out)), "row long, text string").repartition(3), sample=0).collect())
+    assert [found[k] for k in range(len(out))] == groups(out)
+    assert counts["pairs"] > 40 and counts["near"] <= 8

@@ -51,7 +51,14 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     """The frame written once to the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, what)
-    df.write.parquet(path)
+    # What the job shuffled goes as soon as it ends; Spark itself waits for the driver to collect its garbage.
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     back = spark.read.schema(df.schema).parquet(path)
     back._scratch_path = path
     return back

@@ -14,7 +14,8 @@ every pair is found:
    bucket's pairs are a marked set and a larger one. The order is rarest first, by counts of a sample: any order is exact,
    this one keeps phrases that many texts share out of the posts.
 3. Every set has a bitmap of BITS parities of its shingles' hashes. Bits in which two bitmaps differ are shingles that only
-   one of both has, so a pair with too many of them is dropped before its shingles are compared; no pair is lost.
+   one of both has, so a pair with too many of them is dropped before its shingles are compared; no pair is lost. Pairs
+   that are left are held to wider bitmaps, of 4 to 8 cells a shingle, before the shingles themselves are shuffled.
 4. The smallest marked set of each bucket is compared with the larger sets there that are in another component, and components are formed. Then, in
    buckets that hold several components, all pairs across components are: a large group of near copies costs a row a
    member, unless its members are not alike. Large buckets are dealt out as pairs of their parts, none is collected.
@@ -68,6 +69,22 @@ def bitmap(own: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_bitmap(own: np.ndarray) -> bytes:
+    """The same parities in a number of cells that grows with the set: the least power of two of 4 cells a shingle, BITS at least."""
+    cells = max(BITS, 1 << int(4 * len(own) - 1).bit_length()) if len(own) else BITS
+    odd = np.bincount((own.view(np.uint64) >> np.uint64(20)).astype(np.int64) & (cells - 1), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def may_be_alike(n_a: int, a: bytes, n_b: int, b: bytes, similarity: float) -> bool:
+    """False only for sets that are less alike, by their wide bitmaps: the wider one is folded to the other's width."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    if len(y) > len(x):
+        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    total = n_a + n_b
+    return (total - int(np.bitwise_count(x ^ y).sum())) / 2 >= similarity / (1 + similarity) * total - 1e-6
+
+
 def _set_batches(batches: Iterator[pa.RecordBatch], shingle: int, similarity: float, often: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in common.sliced(batches):
         digests, sizes, posts, bits = [], [], [], []
@@ -97,7 +114,14 @@ def _shingle_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterato
 
 def _pack_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in common.sliced(batches):
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(x, shingle).tobytes() for x in common.utf8(batch.column(1))], pa.binary())], ["row", "held"])
+        own = [shingles(x, shingle) for x in common.utf8(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([wide_bitmap(x) for x in own], pa.binary())], ["row", "held", "wide"])
+
+
+def _near_batches(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    for batch in common.sliced(batches):
+        sides = [c.to_pylist() for c in batch.columns[2:]]
+        yield batch.select([0, 1]).filter(pa.array([may_be_alike(*x, similarity) for x in zip(*sides)], pa.bool_()))
 
 
 def _alike_batches(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
@@ -173,7 +197,11 @@ def _pair_batches(batches: Iterator[pa.RecordBatch], similarity: float) -> Itera
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Of the pairs (u, v) of rows those that are alike: bitmaps first, then shingles. Only texts of pairs that are left are read again."""
+    """Of the pairs (u, v) of rows those that are alike: bitmaps first, then bitmaps as wide as the sets need, then shingles.
+
+    Only texts of pairs that the first leaves are read again. A set's shingles go into the shuffle once a pair, so only
+    those of pairs that the second leaves do: the first say little of sets of many more shingles than BITS.
+    """
     side = lambda x: sets.select(F.col("row").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
     both = pairs.distinct().join(side("u"), "u").join(side("v"), "v")
     apart = F.aggregate(F.zip_with("bits_u", "bits_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
@@ -182,13 +210,16 @@ def _alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, shingle: int, si
     rows = pairs.select(F.col("u").alias("row")).unionByName(pairs.select(F.col("v").alias("row"))).distinct()
     # Of all texts only those that a bitmap lets through are shuffled.
     texts = texts.where(common.may_hold(common.hashed_bits(rows), F.col("row")))
-    held = texts.join(rows, "row", "left_semi").select("row", "text").mapInArrow(lambda batches: _pack_batches(batches, shingle), "row bigint, held binary")
+    held = texts.join(rows, "row", "left_semi").select("row", "text").mapInArrow(lambda batches: _pack_batches(batches, shingle), "row bigint, held binary, wide binary")
     held = common.stored(held, "shingles")
+    u, v = (held.join(sets.select("row", "n"), "row").select(F.col("row").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"wide_{x}")) for x in "uv")
+    near = pairs.join(u, "u").join(v, "v").select("u", "v", "n_u", "wide_u", "n_v", "wide_v")
+    near = common.stored(near.mapInArrow(lambda batches: _near_batches(batches, similarity), "u bigint, v bigint"), "near")
     u, v = (held.select(F.col("row").alias(x), F.col("held").alias(f"held_{x}")) for x in "uv")
-    both = pairs.join(u, "u").join(v, "v").select("u", "v", "held_u", "held_v")
+    both = near.join(u, "u").join(v, "v").select("u", "v", "held_u", "held_v")
     found = common.stored(both.mapInArrow(lambda batches: _alike_batches(batches, similarity), "u bigint, v bigint"), "alike")
-    common.discard(held)
-    common.discard(pairs)
+    for frame in (held, pairs, near):
+        common.discard(frame)
     return found
 
 
