@@ -368,3 +368,17 @@ def test_weights_of_a_reference(spark):
     all_at_once = {r["cand"]: r["score"] for r in blocking.tier2(s1, whole).collect()}
     apart = {r["cand"]: r["score"] for t in targets for r in blocking.tier2(s1, prep(spark, [t]), weights=weights).collect()}
     assert apart == all_at_once
+
+
+def test_stored_records_are_not_broadcast(spark, tmp_path):
+    """Repeated texts take little room in a file and much in memory: records, keys and terms are dealt out, not sent through the driver."""
+    raw = spark.createDataFrame([(f"S{k % 3 + 1}-{k}", f"name {k % 5}", f"{k} road 12345", "US") for k in range(60)], "entity_id string, business_name string, business_address string, country string")
+    normalize.normalized(raw).write.parquet(str(tmp_path / "n"))
+    rows = spark.read.parquet(str(tmp_path / "n"))
+    own, others = rows.where("entity_id LIKE 'S1-%'"), rows.where("entity_id NOT LIKE 'S1-%'")
+    candidates = spark.createDataFrame([("S1-0", "S2-1", 1, 1.0)], "s1 string, cand string, rank int, score double")
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    assert "Broadcast" not in plan(features.pair_features(candidates, own, others))
+    sides = normalize.blocking_view(own), normalize.blocking_view(others)
+    assert plan(blocking.tier1(*sides)).count("SortMergeJoin") >= 1
+    assert plan(blocking.tier2(*sides)).count("SortMergeJoin") >= 2

@@ -3,6 +3,9 @@
 Every retriever takes prepared records (operators.normalize.prepare) of both sides and gives s1, cand, score and rank
 (from 1) in a long relation. country is part of every key, so one job serves all countries. Frequent keys are cut by their
 posting length before the join, which also bounds the rows that one key can make: at most `ceiling` per record.
+
+Keys and terms of records are joined with a merge hint: repeated texts take little room in a file, and by the file's size
+Spark would broadcast them, though they are many rows that the driver has to hold.
 """
 
 from __future__ import annotations
@@ -49,7 +52,7 @@ def tier1(s1: DataFrame, targets: DataFrame, k: int = MAX_CANDIDATES, ceiling: i
     """Records that share a bucket key; an exact name counts three times."""
     keys = s1.select(F.col("entity_id").alias("s1"), F.explode(bucket_keys()).alias("key"))
     weight = F.when(F.col("key").startswith("name\x1f"), F.lit(NAME_WEIGHT)).otherwise(F.lit(KEY_WEIGHT))
-    return top_per(keys.join(buckets(targets, ceiling), "key").groupBy("s1", "cand").agg(F.sum(weight).alias("score")), k)
+    return top_per(keys.hint("merge").join(buckets(targets, ceiling), "key").groupBy("s1", "cand").agg(F.sum(weight).alias("score")), k)
 
 
 def _terms(records: DataFrame, grams: Column, words: Column, id_name: str) -> DataFrame:
@@ -76,8 +79,8 @@ def _overlap(s1: DataFrame, targets: DataFrame, ceiling: int, words: Column, gra
     """
     postings = _terms(targets, grams, words, "cand")
     weights = _weights(targets, postings, ceiling) if weights is None else weights
-    asked = _terms(s1, grams, words, "s1").join(weights, ["country", "kind", "term"])
-    return asked.join(postings, ["country", "kind", "term"]).groupBy("s1", "cand").agg(F.sum("weight").alias("score"))
+    asked = _terms(s1, grams, words, "s1").hint("merge").join(weights, ["country", "kind", "term"])
+    return asked.join(postings.hint("merge"), ["country", "kind", "term"]).groupBy("s1", "cand").agg(F.sum("weight").alias("score"))
 
 
 def _tier2_terms() -> tuple[Column, Column]:

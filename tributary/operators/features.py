@@ -70,7 +70,8 @@ def pair_features(candidates: DataFrame, s1: DataFrame, targets: DataFrame, kern
     """
     passed = {c: text.safe_float(F.col(c)) if c in candidates.columns else F.lit(0.0) for c in ("cosine", "norm_difference")}
     pairs = candidates.select("s1", "cand", F.col("rank").cast("double").alias("rank"), F.col("score").cast("double").alias("score"), *[c.alias(k) for k, c in passed.items()])
-    p = pairs.join(_side(s1, "a"), F.col("s1") == F.col("a_id"), "left").join(_side(targets, "b"), F.col("cand") == F.col("b_id"), "left")
+    # By the size of their file Spark would broadcast records that take far more room in memory.
+    p = pairs.join(_side(s1, "a").hint("merge"), F.col("s1") == F.col("a_id"), "left").join(_side(targets, "b").hint("merge"), F.col("cand") == F.col("b_id"), "left")
     empty_list = F.array().cast("array<string>")
     p = p.withColumns({f"{s}_{c}": F.coalesce(f"{s}_{c}", F.lit("")) for s in "ab" for c in ("raw", "name", "first_sound", "raw_addr", "addr")} | {f"{s}_{c}": F.coalesce(f"{s}_{c}", empty_list) for s in "ab" for c in ("tokens", "grams", "sounds", "words", "places", "numbers")})
     a, b = (lambda c: F.col(f"a_{c}")), (lambda c: F.col(f"b_{c}"))

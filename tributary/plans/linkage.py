@@ -130,7 +130,7 @@ def link(s1: DataFrame, targets: DataFrame, options: Options | None = None, mode
         scored = model.score(featured)
     else:
         scored = cascade(featured, s1, targets, model, options.scorer, options, models.CUTOFF)
-    scored = scored.select("s1", "cand", "p").join(universe, "s1")
+    scored = scored.select("s1", "cand", "p").join(universe.hint("merge"), "s1")
     # The thresholds of a record's country travel with its pairs.
     timed = scored.join(limits, "country")
     matches = assign.assign(timed.select("s1", "cand", "p", "country", "tau_singleton", "tau_secondary"), None, F.col("tau_singleton"), F.col("tau_secondary"), options.max_matches, also=("tau_singleton", "tau_secondary")).select("s1", "cand", "p", "rank")
@@ -151,7 +151,7 @@ def train(s1: DataFrame, targets: DataFrame, truth: DataFrame, options: Options
     rows.unpersist()
     universe = s1.select(F.trim("entity_id").alias("s1"), F.upper(text.null_to(F.col("country"), text.ID_NULL_TOKENS, "")).alias("country"))
     # Both searches read the scores.
-    scored = storage.written(model.score(featurize(candidates, own, others)).select("s1", "cand", "p").join(universe, "s1"))
+    scored = storage.written(model.score(featurize(candidates, own, others)).select("s1", "cand", "p").join(universe.hint("merge"), "s1"))
     by_country = calibrate.best_threshold(calibrate.curve(scored, truth, by_country=universe))
     return model, by_country, calibrate.best_threshold(calibrate.curve(scored, truth))
 
