@@ -1,4 +1,5 @@
 import json
+import os
 import zipfile
 
 import pytest
@@ -156,3 +157,15 @@ def test_a_large_package_streams(spark, tmp_path):
     files.zip_files(spark, {"data.bin": str(tmp_path / "in")}, str(tmp_path / "p.zip"))
     with zipfile.ZipFile(tmp_path / "p.zip") as found:
         assert found.testzip() is None and found.read("data.bin") == b"".join(parts)
+
+
+def test_package_in_pieces(spark, tmp_path, monkeypatch):
+    """A part file of several megabytes reaches the zip a megabyte at a time."""
+    data, sizes, member_write = os.urandom(3_500_000), [], zipfile._ZipWriteFile.write
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "part-0").write_bytes(data)
+    (tmp_path / "in" / "part-1").write_bytes(b"")
+    monkeypatch.setattr(zipfile._ZipWriteFile, "write", lambda self, piece: sizes.append(len(piece)) or member_write(self, piece))
+    files.zip_files(spark, {"data.bin": str(tmp_path / "in")}, str(tmp_path / "p.zip"))
+    assert zipfile.ZipFile(tmp_path / "p.zip").read("data.bin") == data
+    assert max(sizes) <= 1 << 20

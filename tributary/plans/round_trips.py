@@ -110,8 +110,11 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for content in batch.column(0):
+            rows = []
             with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
-                rows = [(n, len(data := archive.read(n)), hashlib.md5(data).hexdigest()) for n in archive.namelist()]
+                for info in archive.infolist():
+                    with archive.open(info) as member:
+                        rows.append((info.filename, info.file_size, hashlib.file_digest(member, "md5").hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["name", "size", "md5"])
 
 

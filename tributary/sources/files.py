@@ -8,7 +8,7 @@ import os
 import tempfile
 import time
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, fields, is_dataclass
 from typing import Any
 
@@ -139,10 +139,21 @@ class _Sink(io.RawIOBase):
             self.stream.close()
 
 
+def _chunks(spark: SparkSession, path: str, size: int = 1 << 20) -> Iterator[bytes]:
+    """A file's bytes, so many at a time, by the store's own reader."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        while data := bytes(stream.readNBytes(size)):
+            yield data
+    finally:
+        stream.close()
+
+
 def zip_files(spark: SparkSession, members: dict[str, str], target: str) -> None:
-    """A zip of files by their name in it; folders of parts become one member each. All must exist and are read by Spark.
+    """A zip of files by their name in it; folders of parts become one member each. All must exist and are read from Spark's store.
 
-    Bytes go to the store as they come: the driver holds one part file and a buffer at a time.
+    Bytes go to the store as they come: the driver holds a megabyte of a part file and a buffer at a time.
     """
     absent = [p for p in members.values() if not exists(spark, p)]
     if absent:
@@ -152,7 +163,8 @@ def zip_files(spark: SparkSession, members: dict[str, str], target: str) -> None
             files = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(path).select("path").orderBy("path")
             with out.open(name, "w", force_zip64=True) as member:
                 for part in [r["path"] for r in files.collect()]:
-                    member.write(spark.read.format("binaryFile").load(part).select("content").first()["content"])
+                    for data in _chunks(spark, part):
+                        member.write(data)
 
 
 def package_code(folder: str, target: str, extra: dict[str, str] | None = None, prefixes: tuple[str, ...] = ("code/",), spark: SparkSession | None = None) -> list[str]:
