@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import CountVectorizer, NGram, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, NGram, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import text
 from tributary.operators import mining, tabular
+from tributary.sources import storage
 
 CUTOFF, MAX_KEEP = 0.12, 8
 
@@ -213,6 +216,9 @@ def stack(df: DataFrame, columns: list[str], label: str, classify: bool = True)
 class TextFeatures:
     """TF-IDF over words and word pairs with 1 + ln tf, ln((1 + n) / (1 + df)) + 1 and unit length, then a truncated SVD."""
 
+    #: Terms up to which the product of the matrix with itself is made; more go through ARPACK's passes.
+    GRAM = 500
+
     def __init__(self, max_features: int = 5000, components: int = 50, svd_features: int = 20_000) -> None:
         if max_features > svd_features:
             raise ValueError(f"the SVD's matrix is held by the driver; at most {svd_features} features")
@@ -237,22 +243,30 @@ class TextFeatures:
 
     def fit(self, df: DataFrame, column: str) -> TextFeatures:
         from pyspark.ml.functions import array_to_vector
+        from pyspark.ml.stat import Summarizer
         from pyspark.mllib.linalg.distributed import RowMatrix
         from pyspark.mllib.util import MLUtils
 
-        grams = self._grams(df.select(column), column)
-        self.vocabulary = CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=self.max_features).fit(grams)
-        counted = self.vocabulary.transform(grams)
-        n = counted.count()
-        frequency = {r["k"]: r["n"] for r in counted.select(F.posexplode(vector_to_array("_counts")).alias("k", "c")).where("c > 0").groupBy("k").agg(F.count("*").alias("n")).collect()}
-        import math
-
-        self.idf = [math.log((1 + n) / (1 + frequency.get(k, 0))) + 1 for k in range(len(self.vocabulary.vocabulary))]
+        grams = self._grams(df.select(column), column).select("_grams")
+        # The most frequent terms, ties by the term; counted by a plain aggregation, as most pairs of words are rare.
+        terms = grams.select(F.explode("_grams").alias("term")).groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(self.max_features)
+        self.vocabulary = CountVectorizerModel.from_vocabulary([r["term"] for r in terms.collect()], "_grams", "_counts")
+        # Texts are split twice in all: for the terms and for the stored counts.
+        counted = storage.written(self.vocabulary.transform(grams).select("_counts"), "counts")
+        found = counted.select(Summarizer.metrics("count", "numNonZeros").summary(F.col("_counts")).alias("s")).select("s.count", "s.numNonZeros").first()
+        n, frequency = found["count"], found["numNonZeros"].toArray()
+        self.idf = [math.log((1 + n) / (1 + x)) + 1 for x in frequency]
         # Vectors are converted inside the JVM; no row passes through Python.
         rows = MLUtils.convertVectorColumnsFromML(counted.select(array_to_vector(self._weights(counted)).alias("v")), "v").persist(StorageLevel.MEMORY_AND_DISK)
-        found = RowMatrix(rows).computeSVD(min(self.components, max(1, len(self.idf) - 1)), computeU=False)
+        k = min(self.components, max(1, len(self.idf) - 1))
+        if len(self.idf) <= self.GRAM:
+            # A small product of the matrix with itself takes one pass, its axes are found on the driver.
+            values, vectors = np.linalg.eigh(RowMatrix(rows).computeGramianMatrix().toArray())
+            sizes = np.sqrt(np.maximum(values[::-1][:k], 0))
+            self.axes = vectors[:, ::-1][:, :k].T[sizes > 1e-9 * sizes[0]].tolist()
+        else:
+            self.axes = RowMatrix(rows).computeSVD(k, computeU=False).V.toArray().T.tolist()
         rows.unpersist()
-        self.axes = found.V.toArray().T.tolist()
         return self
 
     def transform(self, df: DataFrame, column: str, prefix: str = "tfidf_svd") -> DataFrame:
