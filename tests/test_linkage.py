@@ -382,3 +382,13 @@ def test_stored_records_are_not_broadcast(spark, tmp_path):
     sides = normalize.blocking_view(own), normalize.blocking_view(others)
     assert plan(blocking.tier1(*sides)).count("SortMergeJoin") >= 1
     assert plan(blocking.tier2(*sides)).count("SortMergeJoin") >= 2
+
+
+def test_bucket_keys_are_not_broadcast(spark, tmp_path):
+    """Every key that is not too frequent stays; the driver does not hold them."""
+    raw = spark.createDataFrame([(f"S2-{k}", f"name {k}", f"{k} road 12345", "US") for k in range(60)], "entity_id string, business_name string, business_address string, country string")
+    normalize.normalized(raw).write.parquet(str(tmp_path / "n"))
+    held = blocking.buckets(normalize.blocking_view(spark.read.parquet(str(tmp_path / "n"))), 59)
+    assert "Broadcast" not in held._jdf.queryExecution().sparkPlan().toString()
+    assert held.where("key LIKE 'name%'").count() == 60
+    assert held.where("key LIKE 'sound%'").count() == 0

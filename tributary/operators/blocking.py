@@ -45,7 +45,7 @@ def bucket_keys() -> Column:
 def buckets(records: DataFrame, ceiling: int = BUCKET_CEILING) -> DataFrame:
     """(key, cand) of all keys that at most `ceiling` different records have."""
     postings = records.select(F.explode(bucket_keys()).alias("key"), F.col("entity_id").alias("cand")).distinct()
-    return postings.join(postings.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") <= ceiling).select("key"), "key")
+    return postings.hint("merge").join(postings.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") <= ceiling).select("key"), "key")
 
 
 def tier1(s1: DataFrame, targets: DataFrame, k: int = MAX_CANDIDATES, ceiling: int = BUCKET_CEILING) -> DataFrame:
