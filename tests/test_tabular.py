@@ -180,6 +180,39 @@ def test_learned_pair_scorer(spark, tmp_path):
     assert models.LearnedPairScorer().load(str(tmp_path / "s")).score(df).collect() == got.collect()
 
 
+def test_weighted_pairs_are_repeated_pairs(spark, tmp_path):
+    rows = [("acme tools", "acme tools", 1, 900), ("beta shop", "beta shops", 1, 3), ("acme tools", "acme shop", 0, 40), ("gamma", "acme tools", 0, 7), ("gamma", "gamma ray", 0, 1)]
+    df = spark.createDataFrame(rows, "text_a string, text_b string, label int, n bigint")
+    weighted = models.LearnedPairScorer().fit(df, weight="n")
+    repeated = models.LearnedPairScorer().fit(df.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "n"))))
+    p, q = ({r["text_a"] + r["text_b"]: r["p_ce"] for r in m.score(df).collect()} for m in (weighted, repeated))
+    assert all(abs(p[k] - q[k]) < 1e-4 for k in p)
+    weighted.save(str(tmp_path / "s"))
+    assert models.LearnedPairScorer().load(str(tmp_path / "s")).score(df).collect() == weighted.score(df).collect()
+
+
+def test_true_pairs_are_scored_by_class(spark, tmp_path):
+    """Equal names make true pairs by the square of their number; rows of the result grow with the records."""
+    from tributary.plans import queries
+
+    page = lambda k, title: (k, f"http://h{k}.org/{k}", f'<html lang="en"><title>{title}</title>{"x" * (7 * k)}</html>')
+    rows = [page(k, "same title here") for k in range(90)] + [page(90 + k, f"title number {k % 7} {'abc' * (k % 5)}") for k in range(60)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    found = queries.learned_pair_scorer(spark, str(tmp_path)).collect()
+    expanded = {(r["s1"], r["cand"]): r["p_ce"] for r in found if r["class_id"] is None}
+    own, others = [r for r in found if r["cand"] is None], [r for r in found if r["s1"] is None]
+    assert len(own) + len(others) <= len(rows)
+    linked = [(a, b) for a in own for b in others if a["class_id"] == b["class_id"]]
+    assert all(sum(x["s1"] == a["s1"] for x, _ in linked) == a["n_links"] for a in own) and all(sum(x["cand"] == b["cand"] for _, x in linked) == b["n_links"] for b in others)
+    expanded |= {(a["s1"], b["cand"]): a["p_ce"] for a, b in linked}
+    pairs = queries.training_pairs(spark, str(tmp_path))
+    s1, targets = queries.sides(queries.records(spark, str(tmp_path)))
+    pairs = pairs.join(s1.select(F.col("entity_id").alias("s1"), F.col("business_name").alias("text_a")), "s1").join(targets.select(F.col("entity_id").alias("cand"), F.col("business_name").alias("text_b")), "cand")
+    want = {(r["s1"], r["cand"]): r["p_ce"] for r in models.LearnedPairScorer().fit(pairs).score(pairs).collect()}
+    assert expanded.keys() == want.keys() and len(want) > len(rows) * 5
+    assert all(abs(expanded[k] - want[k]) < 1e-3 for k in want)
+
+
 def test_gate_and_cached_frames(spark, tmp_path):
     from tributary.sources import files
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import CountVectorizerModel, NGram, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -38,18 +38,36 @@ class TreeModel:
         self.features, self.kind, self.classify, self.seed, self.options = list(features), kind, classify, seed, options
         self.model: PipelineModel | None = None
 
-    def fit(self, df: DataFrame, label: str = "label", validation: str | None = None) -> TreeModel:
-        """validation names a boolean column whose rows stop the boosting early; other learners leave those rows out."""
+    def fit(self, df: DataFrame, label: str = "label", validation: str | None = None, weight: str | None = None) -> TreeModel:
+        """validation names a boolean column whose rows stop the boosting early; other learners leave those rows out.
+
+        weight names a column with the number of equal rows that a row stands for.
+        """
         learner = LEARNERS[self.kind](self.classify, self.seed, **self.options).setFeaturesCol("_features").setLabelCol("_label")
         rows = df.withColumn("_label", F.col(label).cast("double"))
         if validation and self.kind == "gbt":
             learner = learner.setValidationIndicatorCol(validation)
         elif validation:
             rows = rows.where(~F.col(validation))
-        assembler = VectorAssembler(inputCols=self.features, outputCol="_features", handleInvalid="keep")
-        self.model = Pipeline(stages=[assembler, learner]).fit(rows)
+        stages = [VectorAssembler(inputCols=self.features, outputCol="_features", handleInvalid="keep")]
+        if weight:
+            rows = rows.withColumn("_weight", F.col(weight).cast("double"))
+            learner = learner.setWeightCol("_weight")
+            if self.kind == "linear":
+                stages.append(ElementwiseProduct(scalingVec=self._scales(rows), inputCol="_features", outputCol="_scaled"))
+                learner = learner.setFeaturesCol("_scaled").setStandardization(False)
+        self.model = Pipeline(stages=[*stages, learner]).fit(rows)
         return self
 
+    def _scales(self, rows: DataFrame) -> list[float]:
+        """One over each feature's deviation among the rows that stand for others, 0 for a constant: the learner's own
+        deviations take weights for reliabilities, so that its penalty would not be that of the repeated rows."""
+        n = rows.agg(F.sum("_weight")).first()[0] or 0.0
+        means = rows.agg(*[F.sum(F.col(c) * F.col("_weight")) for c in self.features]).first()
+        squares = rows.agg(*[F.sum((F.col(c) - (m or 0.0) / max(n, 1.0)) ** 2 * F.col("_weight")) for c, m in zip(self.features, means)]).first()
+        deviations = [math.sqrt((x or 0.0) / max(n - 1, 1.0)) for x in squares]
+        return [1 / d if d > 1e-9 else 0.0 for d in deviations]
+
     def score(self, df: DataFrame, out: str = "p") -> DataFrame:
         """The rows with a score."""
         scored = self.model.transform(df)
@@ -338,8 +356,13 @@ class LearnedPairScorer:
             }
         )
 
-    def fit(self, pairs: DataFrame, label: str = "label", a: str = "text_a", b: str = "text_b") -> LearnedPairScorer:
-        self.model.fit(self._likenesses(pairs, a, b), label)
+    def fit(self, pairs: DataFrame, label: str = "label", a: str = "text_a", b: str = "text_b", weight: str | None = None) -> LearnedPairScorer:
+        """weight names a column with the number of pairs of equal texts that a row stands for.
+
+        The likenesses are written once, as each of the learner's passes reads them.
+        """
+        rows = self._likenesses(pairs, a, b).select(*self.FEATURES, label, *([weight] if weight else []))
+        self.model.fit(storage.written(rows, "likenesses"), label, weight=weight)
         return self
 
     def score(self, pairs: DataFrame, a: str = "text_a", b: str = "text_b", out: str = "p_ce") -> DataFrame:
