@@ -392,3 +392,37 @@ def test_bucket_keys_are_not_broadcast(spark, tmp_path):
     assert "Broadcast" not in held._jdf.queryExecution().sparkPlan().toString()
     assert held.where("key LIKE 'name%'").count() == 60
     assert held.where("key LIKE 'sound%'").count() == 0
+
+
+def test_truth_by_class_is_truth_by_lists(spark):
+    """The same training rows and the same curves as from listed pairs, which grow with the square of a class."""
+    own = [(f"S1-{k:02}", f"name {k % 3} tools", f"{k} main street {10000 + k % 4}", "US" if k % 5 else "FR") for k in range(40)]
+    held = [(f"S{2 + k % 2}-{k:02}", f"name {k % 4} tools", f"{k} main road {10000 + k % 4}", "US" if k % 7 else "FR") for k in range(70)]
+    s1, targets = (spark.createDataFrame(x, "entity_id string, business_name string, business_address string, country string") for x in (own, held))
+    classes = mining.Classes(s1.selectExpr("entity_id AS s1", "business_name AS class_id"), targets.selectExpr("entity_id AS cand", "business_name AS class_id"))
+    lists = spark.createDataFrame([(a[0], [b[0] for b in held if b[1] == a[1]]) for a in own], "s1 string, cands array<string>")
+    made = linkage.ready(s1, targets, linkage.Options())
+    pairs = lists.select("s1", F.explode("cands").alias("cand"))
+    mined = mining.hard_negatives(made.candidates, pairs, 4)
+    ranked = mining.training_pairs(made.candidates, pairs, targets).select("s1", "cand", "rank", F.when(F.col("is_blocker"), F.lit(1.0) / F.col("rank")).otherwise(F.lit(0.0)).alias("score"))
+    want = features.pair_features(ranked, made.own, made.others).join(mined, ["s1", "cand"]).select("s1", "label", *features.FEATURES)
+    rows = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect())
+    got = rows(linkage._mined(made, classes, 4))
+    assert got == rows(want) and sum(r[1] for r in got) == pairs.count()
+    assert {r[0] for r in rows(linkage._mined(made, classes, 4, 7))} == {r[0] for r in rows(mining.hard_negatives(made.candidates, pairs, 4, 7))}
+    scored = made.candidates.select("s1", "cand", F.round(1 / F.col("rank"), 2).alias("p")).join(s1.selectExpr("entity_id AS s1", "country"), "s1")
+    everyone = s1.selectExpr("entity_id AS s1", "country")
+    for by in (None, everyone):
+        assert rows(calibrate.curve(scored, classes, by_country=by)) == rows(calibrate.curve(scored, lists, by_country=by))
+
+
+def test_calibration_sends_no_pairs_through_the_driver(spark, tmp_path):
+    """Stored scores are a small file; repeated for each threshold they are not."""
+    for name, columns, row in (("scored", "s1 string, cand string, p double", lambda k: (f"S1-{k}", f"S2-{k}", 0.9)), ("everyone", "s1 string, country string", lambda k: (f"S1-{k}", f"US {hashlib.md5(str(k).encode()).hexdigest()}"))):
+        spark.createDataFrame([row(k) for k in range(300)], columns).write.parquet(str(tmp_path / name))
+    scored, everyone = spark.read.parquet(str(tmp_path / "scored")), spark.read.parquet(str(tmp_path / "everyone"))
+    side = lambda i: everyone.select(F.col("s1").alias(i), F.lit("x").alias("class_id"))
+    lists = everyone.select("s1", F.array("s1").alias("cands"))
+    for truth in (mining.Classes(side("s1"), side("cand")), lists):
+        plan = calibrate.curve(scored, truth, by_country=everyone)._jdf.queryExecution().sparkPlan().toString()
+        assert not [x for x in plan.split("\n") if "BroadcastHashJoin" in x and "class_id" not in x]

@@ -68,3 +68,11 @@ def test_lists_survive_the_codec(spark):
     rows = [(["S2-%d" % r.randint(0, 99) for _ in range(r.randint(0, 6))],) for _ in range(300)]
     got = spark.createDataFrame(rows, "x array<string>").select("x", text.split_list(text.join_list(F.col("x"))).alias("y")).collect()
     assert all(row["y"] == list(dict.fromkeys(row["x"])) for row in got)
+
+
+def test_lcs_side_by_side():
+    draw = random.Random(3)
+    texts = ["", "a", "\0b", "é", "x" * 64, "x" * 65] + ["".join(draw.choices("abc 1", k=draw.choice((3, 20, 63, 64, 65, 90)))) for _ in range(300)]
+    a, b = [draw.choice(texts) for _ in range(3000)], [draw.choice(texts) for _ in range(3000)]
+    assert kernels.lcs_lengths(a, b, 500).tolist() == [kernels.lcs_length(x, y) for x, y in zip(a, b)]
+    assert kernels.lcs_lengths([], []).tolist() == []

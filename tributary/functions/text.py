@@ -52,17 +52,17 @@ def soundex(column: Column) -> Column:
 def jaccard(a: Column, b: Column) -> Column:
     """Of the sets of two arrays; 0 if either is empty."""
     both = F.size(F.array_intersect(a, b))
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), both / F.size(F.array_union(a, b))).otherwise(F.lit(0.0))
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.when(a == b, F.lit(1.0)).otherwise(both / F.size(F.array_union(a, b)))).otherwise(F.lit(0.0))
 
 
 def dice(a: Column, b: Column) -> Column:
     sizes = F.size(F.array_distinct(a)) + F.size(F.array_distinct(b))
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.lit(2.0) * F.size(F.array_intersect(a, b)) / sizes).otherwise(F.lit(0.0))
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.when(a == b, F.lit(1.0)).otherwise(F.lit(2.0) * F.size(F.array_intersect(a, b)) / sizes)).otherwise(F.lit(0.0))
 
 
 def levenshtein_ratio(a: Column, b: Column) -> Column:
     longest = F.greatest(F.length(a), F.length(b))
-    return F.when((F.length(a) > 0) & (F.length(b) > 0), F.lit(1.0) - F.levenshtein(a, b) / longest).otherwise(F.lit(0.0))
+    return F.when((F.length(a) > 0) & (F.length(b) > 0), F.when(a == b, F.lit(1.0)).otherwise(F.lit(1.0) - F.levenshtein(a, b) / longest)).otherwise(F.lit(0.0))
 
 
 def ternary_match(a: Column, b: Column) -> Column:

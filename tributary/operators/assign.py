@@ -59,7 +59,7 @@ def assign(pairs: DataFrame, universe: DataFrame | None = None, tau_singleton: C
 def match_lists(matches: DataFrame, universe: DataFrame) -> DataFrame:
     """Every s1 of the universe with its matches in rank order, joined by commas."""
     lists = matches.groupBy("s1").agg(F.array_sort(F.collect_list(F.struct("rank", "cand"))).alias("x"))
-    return universe.select("s1").distinct().join(lists, "s1", "left").select(F.col("s1").alias("source1_entity_id"), F.coalesce(F.array_join(F.array_distinct(F.transform("x", lambda r: r["cand"])), ","), F.lit("")).alias("matched_entity_ids"))
+    return universe.select("s1").distinct().join(lists.hint("merge"), "s1", "left").select(F.col("s1").alias("source1_entity_id"), F.coalesce(F.array_join(F.array_distinct(F.transform("x", lambda r: r["cand"])), ","), F.lit("")).alias("matched_entity_ids"))
 
 
 def competitive(pairs: DataFrame, thresholds: DataFrame | dict[str, tuple[float, float]] | None = None, max_matches: int = MAX_MATCHES) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions import kernels, text
+from tributary.operators import mining
 from tributary.operators.normalize import normalize_addresses, normalize_names
 
 #: Column order of the feature matrix. Fixed values.
@@ -72,6 +73,33 @@ def pair_features(candidates: DataFrame, s1: DataFrame, targets: DataFrame, kern
     pairs = candidates.select("s1", "cand", F.col("rank").cast("double").alias("rank"), F.col("score").cast("double").alias("score"), *[c.alias(k) for k, c in passed.items()])
     # By the size of their file Spark would broadcast records that take far more room in memory.
     p = pairs.join(_side(s1, "a").hint("merge"), F.col("s1") == F.col("a_id"), "left").join(_side(targets, "b").hint("merge"), F.col("cand") == F.col("b_id"), "left")
+    return _compared(p, kernel_features)
+
+
+def class_pair_features(s1: DataFrame, targets: DataFrame, classes: mining.Classes, candidates: DataFrame, block: int = 32) -> DataFrame:
+    """s1, cand and all features of the true pairs that are no candidates, with score 0 and the rank after the s1's last.
+
+    Records meet by their class and not by a list of pairs, so each is dealt out once for every `block` records of its
+    class on the other side, and no task has more of a large class than that.
+    """
+    spark = candidates.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    labelled = classes.label(candidates.select("s1", "cand", "rank"))
+    seen = labelled.groupBy("s1").agg(F.max("rank").alias("_last"), F.collect_list(F.when(F.col("label") == 1, F.col("cand"))).alias("_seen"))
+    sizes = classes.own.groupBy("class_id").agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    own = classes.own.hint("merge").join(sizes, "class_id").withColumn("_block", F.pmod(F.xxhash64("s1"), F.col("_blocks")).cast("int"))
+    others = classes.others.hint("merge").join(sizes, "class_id").select("cand", "class_id", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
+    own = own.select("s1", "class_id", "_block").join(seen.hint("merge"), "s1", "left").join(_side(s1, "a").hint("merge"), F.col("s1") == F.col("a_id"))
+    others = others.hint("merge").join(_side(targets, "b"), F.col("cand") == F.col("b_id"))
+    # A given number of partitions stays as it is: small records make many pairs.
+    met = own.repartition(parts, "class_id", "_block").hint("merge").join(others.repartition(parts, "class_id", "_block"), ["class_id", "_block"])
+    missed = met.where(~F.coalesce(F.array_contains("_seen", F.col("cand")), F.lit(False)))
+    last = (F.coalesce("_last", F.lit(0)) + 1).cast("double")
+    return _compared(missed.withColumns({"rank": last, "score": F.lit(0.0), "cosine": F.lit(0.0), "norm_difference": F.lit(0.0)}).drop("class_id", "_block", "_seen", "_last"), True)
+
+
+def _compared(p: DataFrame, kernel_features: bool) -> DataFrame:
+    """s1, cand and the features of pairs with s1, cand, rank, score, cosine, norm_difference and both sides' columns."""
     empty_list = F.array().cast("array<string>")
     p = p.withColumns({f"{s}_{c}": F.coalesce(f"{s}_{c}", F.lit("")) for s in "ab" for c in ("raw", "name", "first_sound", "raw_addr", "addr")} | {f"{s}_{c}": F.coalesce(f"{s}_{c}", empty_list) for s in "ab" for c in ("tokens", "grams", "sounds", "words", "places", "numbers")})
     a, b = (lambda c: F.col(f"a_{c}")), (lambda c: F.col(f"b_{c}"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.functions import scores, text
@@ -49,6 +49,16 @@ class Linked:
     summary: DataFrame
 
 
+@dataclass
+class Ready:
+    """What training and linking of the same records share, each computed once: normalised records, candidates, features."""
+
+    own: DataFrame
+    others: DataFrame
+    candidates: DataFrame
+    featured: DataFrame
+
+
 def chosen(s1: DataFrame, options: Options) -> DataFrame:
     """Records of the chosen countries and, by the order of their ids in each country, of the chosen positions."""
     rows = s1.where(F.col("country").isin(*options.countries)) if options.countries else s1
@@ -96,6 +106,12 @@ def featurize(candidates: DataFrame, s1: DataFrame, targets: DataFrame, kernel_f
     return features.pair_features(ranked, s1, targets, kernel_features)
 
 
+def ready(s1: DataFrame, targets: DataFrame, options: Options) -> Ready:
+    own, others = normalized(s1, options), normalized(targets, options)
+    candidates = block(own, others, options)
+    return Ready(own, others, candidates, _cut(featurize(candidates, own, others), options))
+
+
 def fixed_score(rows: DataFrame, weights: dict[str, float] = FIXED_SCORE, out: str = "p") -> DataFrame:
     total = F.lit(0.0)
     for name, weight in weights.items():
@@ -109,21 +125,22 @@ def cascade(featured: DataFrame, s1: DataFrame, targets: DataFrame, model: model
     scored = model.score(featured, "p_gbdt").where(F.col("p_gbdt") >= low)
     admitted = models.admit(scored.withColumn("rank", F.col("blocking_rank")).select("s1", "cand", "rank", "p_gbdt"))
     side = lambda df, i, t: df.select(F.trim("entity_id").alias(i), text.pair_text(F.col("business_name"), F.col("business_address"), F.col("country")).alias(t))
-    texts = admitted.select("s1", "cand").join(side(s1, "s1", "text_a"), "s1").join(side(targets, "cand", "text_b"), "cand", "left")
+    texts = admitted.select("s1", "cand").join(side(s1, "s1", "text_a").hint("merge"), "s1").join(side(targets, "cand", "text_b").hint("merge"), "cand", "left")
     expensive = scorer.score(texts).select("s1", "cand", "p_ce")
     first, second = F.col(f"p_{members[0]}"), F.col(f"p_{members[-1]}")
-    return scored.join(expensive, ["s1", "cand"], "left").withColumn("p", scores.blend(F.col("p_ce"), first, second, options.blend))
+    return scored.join(expensive.hint("merge"), ["s1", "cand"], "left").withColumn("p", scores.blend(F.col("p_ce"), first, second, options.blend))
 
 
-def link(s1: DataFrame, targets: DataFrame, options: Options | None = None, model: models.Ensemble | None = None) -> Linked:
-    """Candidates, scores and matches of all countries in one plan."""
+def link(s1: DataFrame, targets: DataFrame, options: Options | None = None, model: models.Ensemble | None = None, made: Ready | None = None) -> Linked:
+    """Candidates, scores and matches of all countries in one plan. `made` is ready() of the same records and options; a
+    choice of records does not apply to it."""
     options = options or Options()
-    s1 = chosen(s1, options)
-    own, others = normalized(s1, options), normalized(targets, options)
+    s1 = s1 if made else chosen(s1, options)
+    own, others = (made.own, made.others) if made else (normalized(s1, options), normalized(targets, options))
     universe = s1.select(F.trim("entity_id").alias("s1"), F.upper(text.null_to(F.col("country"), text.ID_NULL_TOKENS, "")).alias("country"))
-    candidates = block(own, others, options)
+    candidates = made.candidates if made else block(own, others, options)
     limits = calibrate.effective_thresholds(universe, options.calibrated, options.tau, options.tau_singleton)
-    featured = featurize(candidates, own, others, model is not None)
+    featured = made.featured if made else featurize(candidates, own, others, model is not None)
     if model is None:
         scored = fixed_score(featured)
     elif options.scorer is None:
@@ -132,26 +149,46 @@ def link(s1: DataFrame, targets: DataFrame, options: Options | None = None, mode
         scored = cascade(featured, s1, targets, model, options.scorer, options, models.CUTOFF)
     scored = scored.select("s1", "cand", "p").join(universe.hint("merge"), "s1")
     # The thresholds of a record's country travel with its pairs.
-    timed = scored.join(limits, "country")
+    timed = scored.join(F.broadcast(limits), "country")
     matches = assign.assign(timed.select("s1", "cand", "p", "country", "tau_singleton", "tau_secondary"), None, F.col("tau_singleton"), F.col("tau_secondary"), options.max_matches, also=("tau_singleton", "tau_secondary")).select("s1", "cand", "p", "rank")
     lists = assign.match_lists(matches, universe)
     return Linked(candidates, scored, matches, blocking.candidate_lists(candidates, universe), lists, reports.partition_summary(lists, universe))
 
 
-def train(s1: DataFrame, targets: DataFrame, truth: DataFrame, options: Options | None = None, model: models.Ensemble | None = None, max_negatives: int = 10) -> tuple[models.Ensemble, DataFrame, DataFrame]:
-    """(model, thresholds by country, threshold over all): mined pairs train it, raw candidates calibrate it."""
+def _mined(made: Ready, truth: mining.Classes, max_negatives: int, sample_size: int | None = 500_000) -> DataFrame:
+    """s1, label and the features of mining.hard_negatives() under truth by class."""
+    labelled = truth.label(made.candidates.select("s1", "cand", "rank"))
+    nth = F.row_number().over(Window.partitionBy("s1", "label").orderBy("rank", "cand"))
+    kept = labelled.withColumn("_nth", nth).where((F.col("label") == 1) | (F.col("_nth") <= max(0, max_negatives))).select("s1", "cand", "label")
+    found = made.featured.hint("merge").join(kept, ["s1", "cand"])
+    missed = features.class_pair_features(made.own, made.others, truth, made.candidates).withColumn("label", F.lit(1))
+    members = made.candidates.select("s1").union(truth.counts().where("n_true > 0").select("s1")).distinct()
+    if sample_size is not None and members.count() > sample_size:
+        some = mining.some_members(members, sample_size)
+        found, missed = (df.join(some, "s1", "left_semi") for df in (found, missed))
+    columns = ["s1", "label", *features.FEATURES]
+    return found.select(*columns).unionByName(missed.select(*columns))
+
+
+def train(s1: DataFrame, targets: DataFrame, truth: DataFrame | mining.Classes, options: Options | None = None, model: models.Ensemble | None = None, max_negatives: int = 10, made: Ready | None = None) -> tuple[models.Ensemble, DataFrame, DataFrame]:
+    """(model, thresholds by country, threshold over all): mined pairs train it, raw candidates calibrate it.
+
+    Truth by class serves where many records are the same: its pairs are learned from as they are met and never listed.
+    `made` is ready() of the same records and options.
+    """
     options = options or Options()
-    own, others = normalized(s1, options), normalized(targets, options)
-    candidates = block(own, others, options)
-    pairs = files.truth_pairs(truth)
-    mined = mining.hard_negatives(candidates, pairs, max_negatives)
-    ranked = mining.training_pairs(candidates, pairs, targets).select("s1", "cand", "rank", F.when(F.col("is_blocker"), F.lit(1.0) / F.col("rank")).otherwise(F.lit(0.0)).alias("score"))
-    rows = features.pair_features(ranked.join(mined.select("s1", "cand"), ["s1", "cand"], "left_semi"), own, others).join(mined, ["s1", "cand"]).persist()
+    made = made or ready(s1, targets, options)
+    if isinstance(truth, mining.Classes):
+        rows = storage.written(_mined(made, truth, max_negatives), "mined")
+    else:
+        pairs = files.truth_pairs(truth)
+        mined = mining.hard_negatives(made.candidates, pairs, max_negatives)
+        ranked = mining.training_pairs(made.candidates, pairs, targets).select("s1", "cand", "rank", F.when(F.col("is_blocker"), F.lit(1.0) / F.col("rank")).otherwise(F.lit(0.0)).alias("score"))
+        rows = storage.written(features.pair_features(ranked.join(mined.select("s1", "cand"), ["s1", "cand"], "left_semi"), made.own, made.others).join(mined, ["s1", "cand"]), "mined")
     model = (model or models.Ensemble(features.FEATURES)).fit(rows, "label", "s1")
-    rows.unpersist()
     universe = s1.select(F.trim("entity_id").alias("s1"), F.upper(text.null_to(F.col("country"), text.ID_NULL_TOKENS, "")).alias("country"))
     # Both searches read the scores.
-    scored = storage.written(model.score(featurize(candidates, own, others)).select("s1", "cand", "p").join(universe.hint("merge"), "s1"))
+    scored = storage.written(model.score(made.featured).select("s1", "cand", "p").join(universe.hint("merge"), "s1"))
     by_country = calibrate.best_threshold(calibrate.curve(scored, truth, by_country=universe))
     return model, by_country, calibrate.best_threshold(calibrate.curve(scored, truth))
 
