@@ -173,7 +173,7 @@ def _mined(made: Ready, truth: mining.Classes, max_negatives: int, sample_size:
 def train(s1: DataFrame, targets: DataFrame, truth: DataFrame | mining.Classes, options: Options | None = None, model: models.Ensemble | None = None, max_negatives: int = 10, made: Ready | None = None) -> tuple[models.Ensemble, DataFrame, DataFrame]:
     """(model, thresholds by country, threshold over all): mined pairs train it, raw candidates calibrate it.
 
-    Truth by class serves where many records are the same: its pairs are learned from as they are met and never listed.
+    Truth by class serves where many records are the same: its pairs meet by class, and only their feature rows are written.
     `made` is ready() of the same records and options.
     """
     options = options or Options()
