@@ -426,3 +426,24 @@ def test_calibration_sends_no_pairs_through_the_driver(spark, tmp_path):
     for truth in (mining.Classes(side("s1"), side("cand")), lists):
         plan = calibrate.curve(scored, truth, by_country=everyone)._jdf.queryExecution().sparkPlan().toString()
         assert not [x for x in plan.split("\n") if "BroadcastHashJoin" in x and "class_id" not in x]
+
+
+@pytest.mark.parametrize("by_class", [True, False])
+def test_training_takes_all_records_at_any_size(spark, monkeypatch, by_class):
+    """No number of records makes train() mine only some of them."""
+    n = 500_003
+    none = normalize.normalized(records(spark, []))
+    candidates = spark.range(n).select(F.concat(F.lit("S1-"), "id").alias("s1"), F.lit("S2-0").alias("cand"), F.lit(1).alias("rank"), F.lit(1.0).alias("score"))
+    made = linkage.Ready(none, none, candidates, candidates.select("s1", "cand", *[F.lit(0.0).alias(f) for f in features.FEATURES]))
+    lists = spark.createDataFrame([("S1-7", ["S2-0"])], "s1 string, cands array<string>")
+    classes = mining.Classes(lists.selectExpr("s1", "'x' AS class_id"), spark.createDataFrame([("S2-0", "x")], "cand string, class_id string"))
+    mined = []
+
+    def kept(df, *_):
+        mined.append(df)
+        raise InterruptedError
+
+    monkeypatch.setattr(linkage.storage, "written", kept)
+    with pytest.raises(InterruptedError):
+        linkage.train(none, none, classes if by_class else lists, made=made)
+    assert mined[0].agg(F.count("*"), F.countDistinct("s1")).first() == (n, n)

@@ -155,15 +155,15 @@ def link(s1: DataFrame, targets: DataFrame, options: Options | None = None, mode
     return Linked(candidates, scored, matches, blocking.candidate_lists(candidates, universe), lists, reports.partition_summary(lists, universe))
 
 
-def _mined(made: Ready, truth: mining.Classes, max_negatives: int, sample_size: int | None = 500_000) -> DataFrame:
-    """s1, label and the features of mining.hard_negatives() under truth by class."""
+def _mined(made: Ready, truth: mining.Classes, max_negatives: int, sample_size: int | None = None) -> DataFrame:
+    """s1, label and the features of mining.hard_negatives() under truth by class; of all s1 unless a size is asked for."""
     labelled = truth.label(made.candidates.select("s1", "cand", "rank"))
     nth = F.row_number().over(Window.partitionBy("s1", "label").orderBy("rank", "cand"))
     kept = labelled.withColumn("_nth", nth).where((F.col("label") == 1) | (F.col("_nth") <= max(0, max_negatives))).select("s1", "cand", "label")
     found = made.featured.hint("merge").join(kept, ["s1", "cand"])
     missed = features.class_pair_features(made.own, made.others, truth, made.candidates).withColumn("label", F.lit(1))
-    members = made.candidates.select("s1").union(truth.counts().where("n_true > 0").select("s1")).distinct()
-    if sample_size is not None and members.count() > sample_size:
+    if sample_size is not None:
+        members = made.candidates.select("s1").union(truth.counts().where("n_true > 0").select("s1")).distinct()
         some = mining.some_members(members, sample_size)
         found, missed = (df.join(some, "s1", "left_semi") for df in (found, missed))
     columns = ["s1", "label", *features.FEATURES]
@@ -171,7 +171,7 @@ def _mined(made: Ready, truth: mining.Classes, max_negatives: int, sample_size:
 
 
 def train(s1: DataFrame, targets: DataFrame, truth: DataFrame | mining.Classes, options: Options | None = None, model: models.Ensemble | None = None, max_negatives: int = 10, made: Ready | None = None) -> tuple[models.Ensemble, DataFrame, DataFrame]:
-    """(model, thresholds by country, threshold over all): mined pairs train it, raw candidates calibrate it.
+    """(model, thresholds by country, threshold over all): mined pairs of all s1 train it, raw candidates calibrate it.
 
     Truth by class serves where many records are the same: its pairs meet by class, and only their feature rows are written.
     `made` is ready() of the same records and options.
@@ -182,7 +182,7 @@ def train(s1: DataFrame, targets: DataFrame, truth: DataFrame | mining.Classes,
         rows = storage.written(_mined(made, truth, max_negatives), "mined")
     else:
         pairs = files.truth_pairs(truth)
-        mined = mining.hard_negatives(made.candidates, pairs, max_negatives)
+        mined = mining.hard_negatives(made.candidates, pairs, max_negatives, sample_size=None)
         ranked = mining.training_pairs(made.candidates, pairs, targets).select("s1", "cand", "rank", F.when(F.col("is_blocker"), F.lit(1.0) / F.col("rank")).otherwise(F.lit(0.0)).alias("score"))
         rows = storage.written(features.pair_features(ranked.join(mined.select("s1", "cand"), ["s1", "cand"], "left_semi"), made.own, made.others).join(mined, ["s1", "cand"]), "mined")
     model = (model or models.Ensemble(features.FEATURES)).fit(rows, "label", "s1")
